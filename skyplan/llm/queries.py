@@ -10,12 +10,38 @@ from pyspark.sql import functions as F
 from .common import read
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive
+
+    return archive(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files at /<source>/<lang>/<doc_id>."""
+    from .license_scan import scan_licenses
+
+    path = F.concat(F.lit("/"), F.coalesce("source", F.lit("-")), F.lit("/"), F.coalesce("lang", F.lit("-")), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    found = scan_licenses(read(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+    return found.select("row.doc_id", "path", F.col("own.licence").alias("own_licence"), F.round("own.score", 6).alias("score"), "licence", "origin")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import with_quality
 
     return with_quality(read(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", "q.*")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import with_token_counts
+
+    rows = with_token_counts(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    by_section = F.col("count.by_section")
+    return rows.select(
+        "row.doc_id", "count.n_tokens", F.size(by_section).cast("long").alias("n_sections"), "count.n_crossing",
+        F.transform(by_section, lambda x: x.cast("long")).alias("section_tokens"),
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mixture
 
@@ -23,6 +49,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import fit, held_out, predict
+
+    docs = read(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out()))
+    rows = predict(docs.select("doc_id", "text"), model)
+    return rows.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), F.col("answer.lang").alias("lang_pred"), "answer.score")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import scan_items
 
@@ -54,5 +89,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op6_mixing, op8_decontaminate, op9_line_dedup, op10_simhash, pipeline)
+    f.__name__: f
+    for f in (
+        op1_warc, op2_license_scan, op3_quality_rules, op5_token_counts, op6_mixing, op7_language_id, op8_decontaminate,
+        op9_line_dedup, op10_simhash, pipeline,
+    )
 }
