@@ -31,6 +31,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_quality(read(spark, sf_dir, "documents").select("doc_id", "text")).select("row.doc_id", "q.*")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import with_cuts
+
+    rows = with_cuts(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("row.doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", "cut.kept_sha256")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import with_token_counts
 
@@ -91,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_warc, op2_license_scan, op3_quality_rules, op5_token_counts, op6_mixing, op7_language_id, op8_decontaminate,
+        op1_warc, op2_license_scan, op3_quality_rules, op4_substring_dedup, op5_token_counts, op6_mixing, op7_language_id, op8_decontaminate,
         op9_line_dedup, op10_simhash, pipeline,
     )
 }
