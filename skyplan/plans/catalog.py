@@ -1 +1,3 @@
 """Imports every module that registers queries."""
+
+from . import designqueries, planning, skyqueries, timequeries  # noqa: F401
