@@ -17,9 +17,11 @@ last document, which is rounded at random.
 Reduction tree: documents of a source and of like size (steps of 1/4 of a
 power of two) are dealt by hash to blocks of about `block` rows; each block is
 one fold, which decides all its documents but one; residuals are dealt again
-until one is left for each size; a last fold over these, the largest first,
-leaves a residual among the smallest. A hot source has more blocks, not larger
-ones; the loop runs on counts, not on collected rows.
+until one is left for each size. A last fold for each source takes these and
+about `change` documents, drawn by hash and kept out of the tree, the largest
+first: the small ones at its end settle what the large ones leave, so the
+source's words end within about one small document of the target. A hot source
+has more blocks, not larger ones; no step grows with a source.
 
 Draws are hashes of ids and sizes, so reruns agree. Defined results: null
 text has size 0 and takes 0 words; a null source is the last source; rows that
@@ -32,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, release, text_hash, unpacked, written
+from .common import packed, text_hash, unpacked, written
 
 WEIGHTS = (3.0, 1.0, 2.0)
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -43,9 +45,9 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """sizes (source, size) -> (source, source_size, target); the windows run
+    """sizes (source, size) -> (source, source_size, n_docs, target); the windows run
     over one row per source, not over documents."""
-    each = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    each = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     each = each.withColumn("weight", F.element_at(cycle, (F.pmod(rank, F.lit(len(weights))) + 1).cast("int")))
@@ -56,7 +58,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     each = each.withColumn("level", level).withColumn("free", F.col("level") * F.col("weight") <= most * F.col("source_size"))
     each = each.withColumn("final", F.min(F.when(F.col("free"), F.struct(F.col("source_size") / F.col("weight"), F.col("level").alias("level")))).over(whole)["level"])
     target = F.least(most * F.col("source_size"), F.coalesce(F.col("final") * F.col("weight"), most * F.col("source_size")))
-    return each.select("source", "source_size", target.cast("double").alias("target"))
+    return each.select("source", "source_size", "n_docs", target.cast("double").alias("target"))
 
 
 #: log2 of the fan-in of the reduction tree.
@@ -107,10 +109,14 @@ def _fold(items: Column) -> Column:
     return F.aggregate(F.slice(items, 2, F.size(items)), start, _step)
 
 
-def pivotal(items: DataFrame) -> DataFrame:
-    """items (source, item struct(size, id, n, base, p, ...)) with 0 < p < 1
-    and size > 0 -> the same with p of 0 or 1, on average the former p."""
-    live = written(items.select("source", F.floor(4 * F.log2("item.size")).alias("like"), F.xxhash64("item.id", "item.n").alias("lot"), "item"), "mix")
+def pivotal(items: DataFrame, change: int = 256) -> DataFrame:
+    """items (source, n_docs, item struct(size, id, n, base, p, ...)) with
+    0 < p < 1 and size > 0 -> the same with p of 0 or 1, on average the
+    former p."""
+    lot = F.xxhash64("item.id", "item.n")
+    last_of_all = F.pmod(F.xxhash64(lot), F.ceil(F.col("n_docs") / change)) == 0
+    dealt = written(items.select("source", F.floor(4 * F.log2("item.size")).alias("like"), lot.alias("lot"), "item", last_of_all.alias("late")), "mix")
+    live, late = dealt.where("not late").drop("late"), dealt.where("late").select("source", "item")
     n, levels = live.count(), 0
     while n > 1 << FAN_BITS * (levels + 1):
         levels += 1
@@ -120,11 +126,10 @@ def pivotal(items: DataFrame) -> DataFrame:
         folded = live.groupBy("source", "like", block.alias("lot")).agg(_fold(F.sort_array(F.collect_list("item"), asc=False)).alias("f"))
         table = written(folded, "mix")
         done.append(table.select("source", F.explode("f.done").alias("item")))
-        release(live)
         live = table.select("source", "like", "lot", F.col("f.held").alias("item"))
         if level:
             live = written(live, "mix")
-    last = live.groupBy("source").agg(_fold(F.sort_array(F.collect_list("item"), asc=False)).alias("f"))
+    last = live.select("source", "item").unionByName(late).groupBy("source").agg(_fold(F.sort_array(F.collect_list("item"), asc=False)).alias("f"))
     end = F.col("f.held")
     rounded = _with_p(end, (_draw(end["size"], end["id"], end["n"]) < end["p"]).cast("double"))
     done.append(last.select("source", F.explode(F.concat("f.done", F.array(rounded))).alias("item")))
@@ -145,9 +150,9 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     each = sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("f", copies)
     base = F.floor("f")
     item = F.struct("size", "id", "n", "th", base.alias("base"), (F.col("f") - base).alias("p"), "source_size", "target")
-    each = each.select("source", item.alias("item"))
+    each = each.select("source", "n_docs", item.alias("item"))
     drawn = (F.col("item.p") > 0) & (F.col("item.size") > 0)
-    ended = pivotal(each.where(drawn)).unionByName(each.where(~drawn))
+    ended = pivotal(each.where(drawn)).unionByName(each.where(~drawn).drop("n_docs"))
     whole = F.col("item.base") + F.when(F.col("item.p") >= 1, 1).otherwise(0)
     return ended.select("item.id", "item.th", "item.n", "source", "item.size", "item.source_size", "item.target", whole.cast("long").alias("copies"))
 

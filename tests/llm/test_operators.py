@@ -1,0 +1,370 @@
+"""Operators against brute force on whole small tables."""
+
+import hashlib
+import struct
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+
+
+def test_golay_names():
+    from skyplan.llm.golay import GENERATOR, fuzzy
+
+    words = np.arange(1 << 23, dtype=np.uint32)[:: 1 << 6]
+    names, number = fuzzy(words)
+    assert set(np.unique(number)) == {1, 6}
+    # one word of each coset, with every change of one and of two bits
+    seen, leaders = set(), []
+    for w in range(1 << 23):
+        s = w
+        for bit in range(22, 10, -1):
+            if s >> bit & 1:
+                s ^= GENERATOR << (bit - 11)
+        if s not in seen:
+            seen.add(s)
+            leaders.append(w)
+            if len(seen) == 2048:
+                break
+    leaders = np.array(leaders, np.uint32)
+    own, k = fuzzy(leaders)
+    mine = np.arange(6)[None, :] < k[:, None]
+    for i in range(23):
+        other, m = fuzzy(leaders ^ np.uint32(1 << i))
+        theirs = np.arange(6)[None, :] < m[:, None]
+        assert ((other == own[:, :1]) & theirs).any(axis=1).all()
+        for j in range(i):
+            other, m = fuzzy(leaders ^ np.uint32(1 << i | 1 << j))
+            theirs = np.arange(6)[None, :] < m[:, None]
+            assert ((other[:, :, None] == own[:, None, :]) & theirs[:, :, None] & mine[:, None, :]).any(axis=(1, 2)).all()
+
+
+def slow_fingerprint(text):
+    data = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode()
+    words = data.split()
+    shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    bits = Counter(b for s in shingles for h in [xxhash.xxh64_intdigest(s, 42)] for b in range(64) if h >> b & 1)
+    return sum(1 << b for b in range(64) if 2 * bits[b] > len(shingles))
+
+
+def components_of(fps):
+    ids = sorted(fps)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in ids:
+        for b in ids:
+            if a < b and (fps[a] ^ fps[b]).bit_count() <= 4:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("max_run", [1024, 2])
+def test_simhash(docs, texts, max_run):
+    from skyplan.llm.simhash import near_components
+
+    fps = {i: slow_fingerprint(t) for i, t in texts.items()}
+    want = components_of(fps)
+    got = near_components(docs, max_run=max_run).collect()
+    assert {r.id: (r.fp & (1 << 64) - 1, r.component_id) for r in got} == {i: (fps[i], want[i]) for i in fps}
+
+
+@pytest.mark.parametrize("max_run", [4096, 8])
+def test_near_links_random(spark, max_run):
+    """Clusters of fingerprints at the very limit of four bits."""
+    from skyplan.llm.components import components
+    from skyplan.llm.simhash import near_links
+
+    rng = np.random.default_rng(1)
+    fps = set()
+    for _ in range(60):
+        x = int(rng.integers(0, 1 << 63))
+        for _ in range(8):
+            fps.add(x)
+            for b in rng.choice(64, int(rng.integers(1, 6)), replace=False):
+                x ^= 1 << int(b)
+    signed = {i: (f if f < 1 << 63 else f - (1 << 64)) for i, f in enumerate(sorted(fps))}
+    want = components_of({i: f & (1 << 64) - 1 for i, f in signed.items()})
+    nodes = spark.createDataFrame([(f,) for f in signed.values()], "fp long")
+    roots = {r.node: r.root for r in components(near_links(nodes, max_run)).collect()}
+    groups = defaultdict(set)
+    for i, f in signed.items():
+        groups[roots.get(f, f)].add(i)
+    expected = defaultdict(set)
+    for i, g in want.items():
+        expected[g].add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
+def slow_hits(doc, items):
+    def words(t):
+        import re
+
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+
+    w, hit, found = words(doc), set(), set()
+    for item_id, text in items:
+        x = words(text)
+        n = min(10, len(x))
+        for i in range(len(x) - n + 1 if n else 0):
+            for p in range(len(w) - n + 1):
+                if w[p : p + n] == x[i : i + n]:
+                    hit.update(range(p, p + n))
+                    found.add(str(item_id))
+    return len(w), len(hit), sorted(found)
+
+
+@pytest.mark.parametrize("block", [100_000, 40])
+def test_decontaminate(spark, docs, texts, block):
+    from skyplan.llm.decontaminate import scan_items
+
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:12]
+    long = max(texts.values(), key=len).split()
+    bench += [(900, " ".join(long[50:75])), (901, "the of"), (902, " ".join(long[20:29])), (903, " ".join(long[60:90])), (904, "...")]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    few = docs.where("doc_id < 60 or n_chars > 15000")
+    got = scan_items(few, items, block_words=block).select("row.doc_id", "hit.*").collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got} == {r.doc_id: slow_hits(r.text, bench) for r in few.collect()}
+
+
+def test_decontaminated_text_is_clean(spark, docs):
+    from skyplan.llm.decontaminate import decontaminate, scan_items
+
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    before = {r.doc_id: r for r in scan_items(docs, items).select("row.doc_id", "row.text", "hit.n_hit").collect()}
+    out = decontaminate(docs, items)
+    assert scan_items(out, items).where("hit.n_hit > 0").count() == 0
+    for r in out.collect():
+        if not before[r.doc_id].n_hit:
+            assert r.text == before[r.doc_id].text
+
+
+def test_suffix_array():
+    from skyplan.llm.dc3 import suffix_array
+
+    rng = np.random.default_rng(0)
+    for n in [*range(30), 400, 401, 402]:
+        for values in (2, 5, 250):
+            t = rng.integers(1, values + 1, n)
+            assert suffix_array(t).tolist() == sorted(range(n), key=lambda i: t[i:].tolist())
+
+
+def slow_cuts(texts, length=100):
+    seen, out = set(), {}
+    for i in sorted(texts):
+        b = (texts[i] or "").encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            w = b[p : p + length]
+            if w in seen:
+                gone[p : p + length] = b"\x01" * length
+            seen.add(w)
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        spans = sum(1 for k, g in enumerate(gone) if g and (not k or not gone[k - 1]))
+        out[i] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("max_class", [2000, 2])
+def test_substring_dedup(spark, docs, texts, max_class):
+    from skyplan.llm.substring_dedup import with_cuts
+
+    more = dict(texts)
+    some = max(texts.values(), key=len)
+    more |= {10_000: "ab" * 400, 10_001: "x" + "ab" * 200, 10_002: some[500:900] + " new words " + some[300:700], 10_003: "é" * 300, 10_004: some[:99], 10_005: some[:100]}
+    df = spark.createDataFrame(list(more.items()), "doc_id long, text string")
+    got = with_cuts(df, max_class=max_class).select("row.doc_id", "cut.*").collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == slow_cuts(more)
+
+
+def test_mixing(spark):
+    from skyplan.llm.mixing import mixture
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    first = sorted(tuple(r) for r in mixture(docs).collect())
+    assert first == sorted(tuple(r) for r in mixture(docs.repartition(5)).collect())
+    rows = mixture(docs).collect()
+    sizes = {r.doc_id: len((r.text or "").encode().split()) for r in docs.collect()}
+    assert {r.id: r.size for r in rows} == sizes
+    taken, target, own = Counter(), {}, Counter()
+    for r in rows:
+        taken[r.source] += r.copies * r.size
+        own[r.source] += r.size
+        target[r.source] = r.target
+        assert 0 <= r.copies <= 2
+    names = sorted(own)
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    want, left, rest = {}, 1.5 * sum(own.values()), set(names)
+    while rest:
+        level = left / sum(weight[s] for s in rest)
+        over = {s for s in rest if level * weight[s] > 2 * own[s]}
+        if not over:
+            want |= {s: level * weight[s] for s in rest}
+            break
+        want |= {s: 2 * own[s] for s in over}
+        left -= sum(2 * own[s] for s in over)
+        rest -= over
+    for s in names:
+        assert target[s] == pytest.approx(want[s])
+        assert abs(taken[s] - target[s]) <= 0.02 * target[s] + 50, (s, taken[s], target[s])
+
+
+def test_mixing_keeps_probabilities(spark):
+    """Over many equal sources, a document's copies average its factor."""
+    from pyspark.sql import functions as F
+
+    from skyplan.llm.mixing import mixture
+
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 7 + 1).cast("int")).alias("text"), (F.col("id") % 300).cast("string").alias("source"))
+    rows = mixture(docs, weights=(1.0,), most=9.0).groupBy((F.col("size")).alias("size")).agg(F.avg("copies").alias("c")).collect()
+    assert all(abs(r.c - 1.5) < 0.08 for r in rows), rows
+
+
+def test_line_dedup_exact_band(spark):
+    """A sketch's estimate decides only where it is far from the threshold."""
+    from pyspark.sql import functions as F
+
+    from skyplan.llm.line_dedup import boilerplate, lines_of
+
+    rows = [(100 * k + s, f"line {k}\nown {k} {s}", f"site{s}") for k in range(1, 16) for s in range(k)]
+    lines = lines_of(spark.createDataFrame(rows, "doc_id long, text string, source string"), "doc_id", "source", "text")
+    assert boilerplate(lines, 10, 0.25).count() == 6
+    assert boilerplate(lines, 10, 0.25).select(F.min("first.id")).first()[0] == 1000
+
+
+def test_cascade_order_and_verdict(docs):
+    from skyplan.llm.quality_rules import RULES, Text, order_rules, with_quality
+
+    assert order_rules([1.0, 1.0, 10.0], {0b001: 5, 0b010: 6, 0b110: 4, 0: 100}) == [1, 0, 2]
+    assert order_rules([1.0, 1.0], {}) == [0, 1]
+    a = {r.doc_id: r.kept for r in with_quality(docs).select("row.doc_id", "q.kept").collect()}
+    b = {r.doc_id: r.kept for r in with_quality(docs, rules=RULES[::-1]).select("row.doc_id", "q.kept").collect()}
+    assert a == b
+    assert Text("a b c d e a b c d e".encode()).n_repeat_words == 10
+    assert Text("a b c d e x a b c d e".encode()).n_repeat_words == 10
+    assert Text(" ".join("abcdefgh" * 1).encode()).n_repeat_words == 0
+
+
+def test_language_accuracy(spark):
+    from skyplan.llm.language_id import fit, held_out, predict
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = predict(docs, fit(docs.where(~held_out()))).where(held_out("row.doc_id")).select("row.lang", "answer").collect()
+    good = sum(r.lang == r.answer.lang for r in rows)
+    assert len(rows) > 250 and good >= 0.97 * len(rows)
+    assert all(0 <= r.answer.score <= 1 for r in rows)
+
+
+def test_language_backoff():
+    from skyplan.llm.language_id import Model, Scorer
+
+    s = Scorer(Model(("a", "b"), {"word": (9, 1)}, {"zzz": (1, 9), "q": (9, 1)}))
+    assert s.answer("word")[0] == "a" and s.answer("xzzzx")[0] == "b" and s.answer("yqy")[0] == "a"
+    assert s.answer("123 ²") == ("und", 0.0)
+
+
+def test_token_offsets():
+    import tiktoken
+
+    from skyplan.llm.token_counts import PATTERN, VOCABULARY, Encoder, allot, line_ends
+
+    e = Encoder(open(VOCABULARY, "rb").read())
+    text = "Hello wörld, 中文!\n\n  indented\nlast  \n\n"
+    ends = e.ends(text)
+    tokens = e.encoding.encode_ordinary(text)
+    assert len(ends) == len(tokens) and ends[-1] == len(text.encode())
+    assert [text.encode()[a:b] for a, b in zip([0, *ends[:-1]], ends)] == [e.encoding.decode_single_token_bytes(t) for t in tokens]
+    for rule in ("most", "first", "share"):
+        counts, crossing = allot(ends, line_ends(text.encode()), rule)
+        assert counts.sum() == pytest.approx(len(tokens))
+    counts, crossing = allot(np.array([4, 10]), np.array([3, 10]), "most")
+    assert counts.tolist() == [1, 1] and crossing == 1
+    counts, _ = allot(np.array([4, 10]), np.array([3, 10]), "share")
+    assert counts.tolist() == [0.75, 1.25]
+    assert isinstance(e.encoding, tiktoken.Encoding) and PATTERN.startswith("'s")
+
+
+def test_warc_round_trip(spark, tmp_path):
+    import zstandard
+
+    from skyplan.llm.warc import DICTIONARY_MAGIC, archive
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").repartition(2)
+    want = {r.page_id: (r.html or "").encode() for r in pages.collect()}
+    rows = archive(pages, folder=f"file://{tmp_path}", archive_bytes=50_000, train_bytes=20_000).collect()
+    assert {r.page_id: (r.payload_bytes, r.payload_digest) for r in rows} == {k: (len(v), hashlib.sha1(v).hexdigest()) for k, v in want.items()}
+    files = {r.archive for r in rows}
+    assert len(files) > 2
+    r = max(rows, key=lambda r: r.offset)
+    data = (tmp_path / r.archive).read_bytes()
+    magic, size = struct.unpack("<II", data[:8])
+    assert magic == DICTIONARY_MAGIC
+    d = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[8 : 8 + size])).decompressobj()
+    assert want[r.page_id] in d.decompress(data[r.offset :])
+
+
+def test_licences(spark):
+    from skyplan.llm.license_scan import scan_licenses
+
+    apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\nhttp://www.apache.org/licenses/LICENSE-2.0\n"
+    files = [
+        ("/p/LICENSE", "Released under the MIT License.\n"), ("/p/a/x.py", "import os\nprint(os.name)\n"), ("/p/b/LICENSE", apache), ("/p/b/c/d/y.py", "x = 1"),
+        ("/p/b/c/own.py", "# This work is licensed under the GNU General Public License, version 3.\nx = 2\n" + "y = 3\n" * 50), ("/q/z.py", "nothing"), ("/LICENSE2", "All rights reserved? no"),
+    ]
+    got = {r.path: (r.licence, r.origin) for r in scan_licenses(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got["/p/a/x.py"] == ("MIT", "/p") and got["/p/b/c/d/y.py"] == ("Apache-2.0", "/p/b")
+    assert got["/p/b/c/own.py"] == ("GPL-3.0", "/p/b/c/own.py") and got["/q/z.py"] == (None, None)
+
+
+def test_components(spark):
+    from skyplan.llm.components import components
+
+    chain = [(i, i + 1) for i in range(0, 40)] + [(100, 200), (200, 150), (300, 300)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100, 150: 100}
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+    from skyplan.llm.decontaminate import scan_items
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "decontamination", "mixing"]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert docs.count() == docs.select("doc_id").distinct().count()
+    assert scan_items(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).where("hit.n_hit > 0").count() == 0
+    out = corpus_pipeline.run(spark, SF)
+    assert out.where("mix_copies < 1 or mix_copies > 2").count() == 0 and out.count() <= docs.count()
+
+
+def test_queries_against_sql(spark):
+    import duckdb
+
+    from skyplan.llm import queries, sql
+
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SF}/documents.parquet'")
+    for name, text in sql.ORACLE_SQL.items():
+        a = queries.QUERIES[name](spark, SF).toPandas()
+        b = con.sql(text).df()[list(a.columns)]
+        assert sorted(map(tuple, a.astype(str).values)) == sorted(map(tuple, b.astype(str).values)), name
