@@ -44,7 +44,9 @@ def boilerplate(lines: DataFrame, min_sites: int, band: float) -> DataFrame:
     low, high = min_sites * (1 - band), min_sites * (1 + band)
     wide = spread.where(F.col("sites") >= low)
     near = wide.where(F.col("sites") < high)
-    exact = lines.select("h1", "h2", "site").join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").distinct().groupBy("h1", "h2").agg(F.count("*").alias("exact"))
+    # sites are made distinct before the join, so that a common line brings a row per site to it
+    seen = lines.select("h1", "h2", "site").distinct()
+    exact = seen.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.count("*").alias("exact"))
     sure = wide.where(F.col("sites") >= high).select("h1", "h2", "first")
     return sure.unionByName(near.join(exact.where(F.col("exact") >= min_sites), ["h1", "h2"]).select("h1", "h2", "first"))
 
