@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, unpacked, utf8
+from .common import packed, text_hash, unpacked, utf8
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
@@ -162,10 +162,14 @@ def order_rules(seconds: list[float], patterns: dict[int, int]) -> list[int]:
 def plan_cascade(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000) -> tuple[Rule, ...]:
     """The rules in the order in which they are to run.
 
-    sample_rows bounds the sample on which cost and selectivity are measured.
-    Executors measure; the driver gets one row per pattern and partition.
+    sample_rows bounds the sample, drawn by a hash of the text, on which cost
+    and selectivity are measured. Executors measure; the driver gets one row
+    per rule and per pattern.
     """
-    sample = docs.select(utf8(text_col).alias("t")).where("t is not null").limit(sample_rows)
+    n = docs.count()
+    lot = F.pmod(text_hash(text_col), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    sample = docs.where(F.col(text_col).isNotNull() & (lot <= F.lit(min(1.0, 1.2 * sample_rows / max(n, 1)))))
+    sample = sample.select(utf8(text_col).alias("t")).limit(sample_rows)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spent, patterns = [0.0] * len(rules), Counter()
