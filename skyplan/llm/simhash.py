@@ -209,7 +209,9 @@ def _ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(nodes: DataFrame, max_run: int = 1024) -> DataFrame:
     """nodes (fp) distinct -> links (u, v) whose components are those of all
     pairs of at most 4 differing bits."""
-    keys = nodes.select("fp").mapInArrow(_emit_keys, "k long, fp long")
+    # a fingerprint becomes some 190 keys: spread by number of tasks, not by size
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = nodes.select("fp").repartition(tasks, "fp").mapInArrow(_emit_keys, "k long, fp long")
     runs = keys.repartition(F.shiftright("k", 1)).sortWithinPartitions("k")
     found = written(runs.mapInArrow(verify_runs(max_run), "u long, v long, over boolean"), "links")
     links = found.where("not over").select("u", "v").distinct()
