@@ -134,7 +134,7 @@ SELECT o_orderkey AS k, '0x' || lpad(lower(to_hex(o_orderkey * 1000003)), 16, '0
 def design_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("o_orderkey") * 1000003
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), X.design_hex(i).alias("hex"))
-    return o.select("k", "hex", X.design_of_name(F.concat(F.lit("pfsDesign-"), "hex", F.lit(".fits"))).alias("back"))
+    return o.select("k", "hex", X.design_of_name(F.concat(F.lit("design-"), "hex", F.lit(".fits"))).alias("back"))
 
 
 @query("""

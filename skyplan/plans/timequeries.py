@@ -132,16 +132,16 @@ SELECT page_id AS key, CAST(p_n AS INTEGER) AS n_rows FROM (
 def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows under the header of a table that is put behind each page."""
     n = F.col("page_id") % 4 + 1
-    body = F.repeat(F.lit("<tr><td>2026-03-01</td><td>PFS</td></tr>"), n.cast("int"))
+    body = F.repeat(F.lit("<tr><td>2026-03-01</td><td>Spec</td></tr>"), n.cast("int"))
     page = F.concat("html", F.lit("<table><tr><th>Date</th><th>Instrument</th></tr>"), body, F.lit("</table>"))
     rows = T.table_with_header(T.html_rows(read(spark, sf_dir, "pages").select("page_id", page.alias("html"))), ["date", "instrument"])
     return rows.groupBy("key").agg(F.count("*").cast("int").alias("n_rows"))
 
 
 @query("""
-SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'S26A-' || CAST(100 + conv_id % 900 AS VARCHAR) END AS proposal_id FROM conversations WHERE turn % 3 = 0
+SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'S24A-' || CAST(100 + conv_id % 900 AS VARCHAR) END AS proposal_id FROM conversations WHERE turn % 3 = 0
 """)
 def schedule_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "conversations").where("turn % 3 = 0")
-    line = F.concat(F.lit("18:30-23:00 {grey} PFS (someone; S26A-"), (100 + F.col("conv_id") % 900).cast("string"), F.lit(") and more"))
-    return T.schedule_entries(c.select("conv_id", "turn", line.alias("line"))).select("conv_id", "turn", "proposal_id")
+    line = F.concat(F.lit("18:30-23:00 {grey} SPEC (someone; S24A-"), (100 + F.col("conv_id") % 900).cast("string"), F.lit(") and more"))
+    return T.schedule_entries(c.select("conv_id", "turn", line.alias("line")), "SPEC").select("conv_id", "turn", "proposal_id")

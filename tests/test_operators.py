@@ -228,10 +228,10 @@ def test_text_sources(spark):
     page = "<table><tr><th>Date<th>Who</tr></table><table><tr><td>Date</td><td>Instr</td></tr><tr><td>1/2</td><td>a<br>b &amp; c</td></tr></table>"
     pages = spark.createDataFrame([(1, page), (2, None), (3, "<table><tr><td>unclosed")], "page_id long, html string")
     assert rows(text.table_with_header(text.html_rows(pages), ["date", "instr"]), "key", "cells") == [(1, ["1/2", "a\nb & c"])]
-    lines = spark.createDataFrame([("18:30-5:30 {x} PFS open (obs; S26A-OT04) 1:00-2:00 {y} HSC (z; S26A-001) 3:00-4:00 {y} pfs (z; S26A-02QN)",)], "line string")
-    entries = text.schedule_entries(lines)
-    assert rows(entries, "start", "stop", "proposal_id") == [("18:30", "5:30", "S26A-OT04"), ("3:00", "4:00", "S26A-02QN")]
-    assert rows(text.classic_proposals(entries)) == [("S26A-OT04",)]
+    lines = spark.createDataFrame([("18:30-5:30 {x} SPEC open (obs; S24A-OT04) 1:00-2:00 {y} CAM (z; S24A-001) 3:00-4:00 {y} spec (z; S24A-02QN)",)], "line string")
+    entries = text.schedule_entries(lines, "SPEC")
+    assert rows(entries, "start", "stop", "proposal_id") == [("18:30", "5:30", "S24A-OT04"), ("3:00", "4:00", "S24A-02QN")]
+    assert rows(text.classic_proposals(entries)) == [("S24A-OT04",)]
     obs = spark.createDataFrame([(1, "2024-01-01 19:00-5:00"), (1, ""), (2, "2024-01-01 19:00-5:00"), (2, "bad")], "doc int, line string")
     assert rows(text.observation_windows(obs), "doc", F.date_format("stop", "dd HH:mm")) == [(1, "02 05:00"), (2, None), (2, None)]
     css = spark.createDataFrame([(1, "#T_row0_col3, #T_row2_col1 { background-color: red } #T_row5_col5 { color: red }")], "page_id long, html string")

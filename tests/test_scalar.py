@@ -57,7 +57,7 @@ def test_times(spark):
 
 def test_pairs_and_ids(spark):
     assert values(spark, [("3 (1)",), ("12",), ("",), (None,)], "t string", X.count_pair("t"))[:3] == [([3, 1],), ([12, 0],), ([0, 0],)]
-    name = values(spark, [("pfsDesign-0x00000000000f4243.fits",), ("a.ff.b",)], "t string", X.design_of_name("t"))
+    name = values(spark, [("design-0x00000000000f4243.fits",), ("a.ff.b",)], "t string", X.design_of_name("t"))
     assert name == [(1000003,), (255,)]
     assert values(spark, [(255,)], "i long", X.design_hex("i")) == [("0x00000000000000ff",)]
     assert values(spark, [("J2000.0",), ("2016",), ("x",)], "t string", X.epoch_number("t")) == [(2000.0,), (2016.0,), (None,)]
