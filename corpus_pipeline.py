@@ -8,6 +8,7 @@ Parquet to the shared folder and reads it again as the next one's input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyplan.llm.common import read, written
 from skyplan.llm.decontaminate import decontaminate
@@ -17,6 +18,11 @@ from skyplan.llm.quality_rules import filter_quality
 from skyplan.llm.simhash import keep_one
 
 
+def recounted(docs: DataFrame) -> DataFrame:
+    """docs with n_chars of the texts as they now are."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a rule rejects go."""
     return filter_quality(docs)
@@ -24,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines stay only where they first occur."""
-    return dedup_lines(docs)
+    return recounted(dedup_lines(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages go, and documents that are mostly such."""
-    return decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    return recounted(decontaminate(docs, read(spark, sf_dir, "benchmark")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
