@@ -76,7 +76,7 @@ def night_window(nights: DataFrame, starts: DataFrame, stops: DataFrame) -> Data
     today, next_day = F.to_date("at") == F.col("night"), F.to_date("at") == F.date_add("night", 1)
 
     def chosen(given: DataFrame, value: Column, name: str) -> DataFrame:
-        met = n.join(given.withColumn("__i", F.monotonically_increasing_id()), today | next_day).withColumn("value", value).where("value is not null")
+        met = n.join(given, today | next_day).withColumn("value", value).where("value is not null")
         met = met.withColumn("__k", F.row_number().over(Window.partitionBy("at").orderBy("night"))).where("__k = 1")
         return met.groupBy("night").agg(F.min_by("value", "at").alias(name))
 
