@@ -6,21 +6,23 @@ content. A suffix array of every byte of the corpus would sort it several
 times over, so the sort is confined to suffixes that can match:
 
 1. Names. Each string of 100 bytes is named by the least hash of the 32-byte
-   strings in it, at its rightmost place: equal strings have equal names, and
-   neighbouring starts that have the name from one place are a run (35 starts
-   on average, 69 at most).
-2. Names that occur once are dropped by a fixed-size Bloom table of those that
-   occur again; a false hit costs work, not correctness.
+   strings in it, which has a place in it (the rightmost): equal strings have
+   equal names and places. Neighbouring starts of one name are a run.
+2. Names that occur at one place are dropped by a fixed-size Bloom table of
+   those that occur again; a false hit costs work, not correctness.
 3. Runs of equal content (name, length and a 64-bit hash of all their bytes)
    collapse: all but the earliest are removed as a whole. The earliest one
-   goes on if its name has others.
+   goes on if its name has another place.
 4. What is left of a name, each with the bytes around it, is a class; whole
    classes are packed into blocks, and each block's suffixes are sorted by
    DC3: sampled triples, recursion on their names, merge of the rest. Adjacent
    suffixes are compared in their first 100 bytes; in each group of equals
    all but the earliest start are removed.
-5. A class too large for a block isn't gathered: its starts get rows of
-   (128 bits of hash, place), and the cluster groups them.
+5. A class too large for a block isn't gathered. Its runs are cut into parts
+   of PART starts by the distance to the name's place, the parts are named by
+   the bytes that all their strings share, and step 3 is repeated; what is
+   left gets a row for each start (128 bits of hash, place in the corpus), and
+   the cluster groups these.
 
 Order is by id, nulls last, then text hash, then start; rows that repeat id
 and text are one document in this order and get equal results. Null or empty
@@ -47,7 +49,10 @@ LENGTH, GRAM = 100, 32
 PIECE, PLACE_BITS = 1 << 20, 22
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-RUN_SQL = "no_id boolean, id {id}, th long, name long, f long, lo long, size int, ctx binary"
+#: Starts in a run at most (but for the last place's), and in a part.
+MAX_RUN, PART = 400, 8
+RUN_SQL = "no_id boolean, id {id}, th long, name long, f long, lo long, size int, places int, ctx binary"
+_RUN = ["no_id", "id", "th", "name", "f", "lo", "size", "places", "ctx"]
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -69,11 +74,12 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def runs_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Name, first start and number of starts of each run of `data`."""
+def places_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts that have a name from one place: the name, the first start, the
+    number of starts, and the distance from the first start to the place."""
     if len(data) < length:
         empty = np.empty(0, np.int64)
-        return empty.view(np.uint64), empty, empty
+        return empty.view(np.uint64), empty, empty, empty
     w = _words(data)
     m = len(data) - gram + 1
     h = w[:m] * _P1
@@ -89,7 +95,8 @@ def runs_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     least = _sliding_least((h & ~place) | (place - np.arange(m, dtype=np.uint64)), length - gram + 1)
     first = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1))
     size = np.diff(np.concatenate((first, [len(least)])))
-    return h[(place - (least[first] & place)).astype(np.int64)], first, size
+    at = (place - (least[first] & place)).astype(np.int64)
+    return h[at], first, size, at - first
 
 
 def pieces(texts: list[bytes | None], length: int = LENGTH) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -101,35 +108,29 @@ def pieces(texts: list[bytes | None], length: int = LENGTH) -> Iterator[tuple[in
             yield i, offset, whole[offset : offset + PIECE + length - 1]
 
 
-def _joined(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs over several short texts at once: (names, index of the text,
-    start in it, number of starts, bytes, start in the bytes)."""
+def _joined(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Places over several short texts at once: (name, index of the text,
+    start in it, number of starts, bytes, start in the bytes), in order."""
     held: list[tuple[int, int, np.ndarray]] = []
     total = 0
 
-    def runs() -> tuple:
+    def found() -> tuple[np.ndarray, ...]:
         data = np.concatenate([x for _, _, x in held])
         ends = np.cumsum([len(x) for _, _, x in held])
         begins = ends - [len(x) for _, _, x in held]
-        name, first, size = runs_of(data, length)
+        name, first, size, _ = places_of(data, length)
         # cut at the borders of texts, and drop starts too near to an end
-        owner = np.searchsorted(ends, first, "right")
-        last = np.searchsorted(ends, first + size - 1, "right")
-        if (cross := np.flatnonzero(last != owner)).size:
-            extra = [(name[c], max(first[c], begins[o]), min(first[c] + size[c], ends[o]), o) for c in cross.tolist() for o in range(owner[c], last[c] + 1)]
-            keep = last == owner
-            name = np.concatenate((name[keep], np.array([e[0] for e in extra], np.uint64)))
-            stop = np.concatenate(((first + size)[keep], [e[2] for e in extra]))
-            first = np.concatenate((first[keep], [e[1] for e in extra]))
-            owner = np.concatenate((owner[keep], [e[3] for e in extra]))
-        else:
-            stop = first + size
-        size = np.minimum(stop, ends[owner] - length + 1) - first
+        owner, last = np.searchsorted(ends, first, "right"), np.searchsorted(ends, first + size - 1, "right")
+        n = last - owner + 1
+        row = np.repeat(np.arange(len(n)), n)
+        owner = np.repeat(owner, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.maximum(first[row], begins[owner])
+        size = np.minimum((first + size)[row], ends[owner] - length + 1) - start
         good = size > 0
-        name, first, size, owner = name[good], first[good].astype(np.int64), size[good].astype(np.int64), owner[good]
+        name, start, size, owner = name[row][good], start[good], size[good], owner[good]
         index = np.array([i for i, _, _ in held], np.int64)[owner]
         offset = np.array([o for _, o, _ in held], np.int64)[owner]
-        return name, index, offset + first - begins[owner], size, data, first
+        return name, index, offset + start - begins[owner], size, data, start
 
     for i, offset, data in pieces(texts, length):
         if len(data) < length:
@@ -137,10 +138,23 @@ def _joined(texts: list[bytes | None], length: int) -> Iterator[tuple[np.ndarray
         held.append((i, offset, data))
         total += len(data)
         if total >= PIECE:
-            yield runs()
+            yield found()
             held, total = [], 0
     if held:
-        yield runs()
+        yield found()
+
+
+def _runs(name: np.ndarray, index: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of adjoining places of one name: index of the first place, number
+    of starts, number of places."""
+    n = len(name)
+    new = np.ones(n, bool)
+    new[1:] = (name[1:] != name[:-1]) | (index[1:] != index[:-1]) | (start[1:] != start[:-1] + size[:-1])
+    group = np.cumsum(new) - 1
+    part = (start - start[new][group]) // MAX_RUN
+    new[1:] |= part[1:] != part[:-1]
+    first = np.flatnonzero(new)
+    return first, np.add.reduceat(size, first) if n else size, np.diff(np.append(first, n))
 
 
 def _hash_strings(data: np.ndarray, first: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
@@ -218,14 +232,16 @@ def _emit_runs(table, length: int):
                 if not len(on):
                     continue
                 name, index, start, size, first = name[on], index[on], start[on], size[on], first[on]
+                head, size, places = _runs(name, index, start, size)
+                name, index, start, first = name[head], index[head], start[head], first[head]
                 width = size + length - 1
                 f = _hash_strings(data, first, width, 1)
                 raw = data.tobytes()
                 ctx = [raw[a:b] for a, b in zip(first.tolist(), (first + width).tolist())]
                 take = pa.array(index)
                 yield pa.RecordBatch.from_arrays(
-                    [*(k.take(take) for k in keys), pa.array(name.view(np.int64)), pa.array(f.view(np.int64)), pa.array(start), pa.array(size.astype(np.int32)), pa.array(ctx, pa.binary())],
-                    names=["no_id", "id", "th", "name", "f", "lo", "size", "ctx"],
+                    [*(k.take(take) for k in keys), pa.array(name.view(np.int64)), pa.array(f.view(np.int64)), pa.array(start), pa.array(size.astype(np.int32)), pa.array(places.astype(np.int32)), pa.array(ctx, pa.binary())],
+                    names=_RUN,
                 )
 
     return emit
@@ -249,7 +265,7 @@ def _start_earlier(text: np.ndarray, valid: np.ndarray, length: int) -> np.ndarr
     return np.sort(order[order != least[group]])
 
 
-def resolve_blocks(length: int, block: int = MAX_SYMBOLS):
+def resolve_blocks(length: int, block: int):
     """Over rows sorted by (name, corpus order), whole classes at a time:
     the intervals to remove."""
 
@@ -306,8 +322,50 @@ def _solve(rows: list[tuple], length: int, id_type: pa.DataType) -> pa.RecordBat
     )
 
 
+def _emit_parts(length: int):
+    """Runs as parts of at most PART starts: starts whose distance to the
+    name's place is the same but for the remainder by PART, named by that
+    distance and the bytes that all strings of such distances share."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1 << 20):
+            texts = batch.column("ctx").to_pylist()
+            for _, index, start, size, data, first in _joined(texts, length):
+                # the distances of a whole place; those that a border cut are found by its own strings again
+                gap = _distances(data, first, length)
+                n = (gap // PART) - ((gap - size + 1) // PART) + 1
+                row = np.repeat(np.arange(len(n)), n)
+                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                band = gap[row] // PART - step
+                a = np.maximum(gap[row] - (band * PART + PART - 1), 0)  # first and last start of the part in its place
+                b = np.minimum(gap[row] - band * PART, size[row] - 1)
+                begin, count = first[row] + a, b - a + 1
+                place = first[row] + gap[row]
+                core = place - band * PART
+                shared = _hash_strings(data, core, np.full(len(core), length - PART + 1), 3) ^ splitmix(band.astype(np.uint64))
+                width = count + length - 1
+                f = _hash_strings(data, begin, width, 1) ^ splitmix((gap[row] - a).astype(np.uint64))
+                raw = data.tobytes()
+                ctx = [raw[x:y] for x, y in zip(begin.tolist(), (begin + width).tolist())]
+                take = pa.array(index[row])
+                lo = batch.column("lo").to_numpy()[index[row]] + start[row] + a
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(take) for c in ("no_id", "id", "th")), pa.array(shared.view(np.int64)), pa.array(f.view(np.int64)), pa.array(lo), pa.array(count.astype(np.int32)), pa.array(np.ones(len(lo), np.int32)), pa.array(ctx, pa.binary())],
+                    names=_RUN,
+                )
+
+    return emit
+
+
+def _distances(data: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """The distance from each of the given starts to its name's place."""
+    _, begin, _, gap = places_of(data, length)
+    row = np.searchsorted(begin, first, "right") - 1
+    return gap[row] + begin[row] - first
+
+
 def _emit_starts(length: int):
-    """A row for each start of a class too large for a block."""
+    """A row for each start of a run."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1 << 20):
@@ -326,30 +384,47 @@ def _emit_starts(length: int):
     return emit
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_class: int = 2000) -> DataFrame:
-    """(id, th, a, b): byte intervals to remove, which may overlap."""
+def _settle(runs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """runs, a written table -> intervals of whole runs that also start
+    earlier elsewhere; the earliest runs whose name has another place, with
+    the bytes of their class."""
+    place = F.struct(*place_columns())
+    heads = runs.groupBy("name", "f", "size").agg(F.min(F.struct(*place_columns(), "ctx", "places")).alias("m"), F.count("*").alias("n"))
+    heads = written(heads.select("name", "f", "size", "m.*", "n"), "heads")
+    _collect_garbage(runs.sparkSession)
+    lead = heads.where("n > 1").select("name", "f", "size", place.alias("first"))
+    whole = runs.select("name", "f", "size", *place_columns()).join(lead, ["name", "f", "size"]).where(place > F.col("first"))
+    whole = written(whole.select("id", "th", F.col("lo").alias("a"), (F.col("lo") + F.col("size") + (length - 1)).alias("b")), "whole")
+    classes = heads.groupBy("name").agg(F.sum(F.col("size") + (length - 1)).alias("bytes"), F.count("*").alias("k"), F.max("places").alias("p"))
+    classes = written(classes.where("k > 1 or p > 1").select("name", "bytes"), "classes")  # so that a join of both can be split
+    left = written(heads.join(classes, "name").select("name", "f", *place_columns(), "size", "places", "ctx", "bytes"), "left")
+    _collect_garbage(runs.sparkSession)
+    return whole, left
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, block: int = MAX_SYMBOLS) -> DataFrame:
+    """(id, th, a, b): byte intervals to remove, which may overlap. block: the
+    bytes of a class, or of several, that are sorted together at most."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
     table = spark.sparkContext.broadcast(repeated_names(docs, text_col, length))
     keyed = docs.select(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), text_hash(text_col).alias("th"), utf8(text_col).alias("t"))
-    runs = written(keyed.mapInArrow(_emit_runs(table, length), RUN_SQL.format(id=id_type)), "runs")
-    place = F.struct("no_id", "id", "th", "lo")
-    heads = written(runs.groupBy("name", "f", "size").agg(F.min(F.struct(*place_columns(), "ctx")).alias("m"), F.count("*").alias("n")).select("name", "f", "size", "m.*", "n"), "heads")
-    _collect_garbage(spark)
-    # whole runs that start earlier elsewhere
-    lead = heads.where("n > 1").select("name", "f", "size", place.alias("first"))
-    whole = runs.select("name", "f", "size", *place_columns()).join(lead, ["name", "f", "size"]).where(place > F.col("first"))
-    whole = written(whole.select("id", "th", F.col("lo").alias("a"), (F.col("lo") + F.col("size") + (length - 1)).alias("b")), "whole")
-    # the earliest runs whose name has others
-    classes = heads.groupBy("name").agg(F.count("*").alias("k")).where("k > 1")
-    left = written(heads.join(classes, "name").select("name", *place_columns(), "size", "ctx", "k"), "left")
+    run_sql = RUN_SQL.format(id=id_type)
+    runs = written(keyed.mapInArrow(_emit_runs(table, length), run_sql), "runs")
     _collect_garbage(spark)
-    small = left.where(F.col("k") <= max_class).repartition("name").sortWithinPartitions("name", *place_columns())
-    found = small.mapInArrow(resolve_blocks(length), f"id {id_type}, th long, a long, b long")
-    starts = left.where(F.col("k") > max_class).mapInArrow(_emit_starts(length), f"h1 long, h2 long, no_id boolean, id {id_type}, th long, lo long")
-    earliest = starts.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-    crowd = starts.join(earliest, ["h1", "h2"]).where(place > F.col("first")).select("id", "th", F.col("lo").alias("a"), (F.col("lo") + length).alias("b"))
-    out = whole.unionByName(written(found.unionByName(crowd), "cuts"))
+    whole, left = _settle(runs, length)
+    small = left.where(F.col("bytes") <= block).repartition("name").sortWithinPartitions("name", *place_columns())
+    found = written(small.mapInArrow(resolve_blocks(length, block), f"id {id_type}, th long, a long, b long"), "cuts")
+    out = whole.unionByName(found)
+    large = left.where(F.col("bytes") > block)
+    if not large.isEmpty():
+        parts = written(large.mapInArrow(_emit_parts(length), run_sql), "parts")
+        again, rest = _settle(parts, length)
+        starts = rest.mapInArrow(_emit_starts(length), f"h1 long, h2 long, no_id boolean, id {id_type}, th long, lo long")
+        place = F.struct(*place_columns())
+        earliest = starts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
+        crowd = starts.join(earliest, ["h1", "h2"]).where(place > F.col("first")).select("id", "th", F.col("lo").alias("a"), (F.col("lo") + length).alias("b"))
+        out = out.unionByName(again).unionByName(written(crowd, "cuts"))
     _collect_garbage(spark)
     return out
 
@@ -394,10 +469,10 @@ def _cut(texts: pa.Array, cuts: pa.Array) -> pa.Array:
     return pa.array(out, _CUT)
 
 
-def with_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, max_class: int = 2000) -> DataFrame:
+def with_cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, block: int = MAX_SYMBOLS) -> DataFrame:
     """Columns `row` (the input row) and `cut` (n_bytes, n_removed, n_spans,
     kept_sha256, and the maximal removed spans a, b, a, b ... in bytes)."""
-    cuts = repeats(docs, id_col, text_col, length, max_class).groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias("cuts"))
+    cuts = repeats(docs, id_col, text_col, length, block).groupBy("id", "th").agg(F.collect_set(F.struct("a", "b")).alias("cuts"))
     rows = packed(docs).select("row", F.col("row")[id_col].alias("key"), text_hash(F.col("row")[text_col]).alias("key_hash"))
     met = rows.join(cuts, F.col("key").eqNullSafe(F.col("id")) & (F.col("key_hash") == F.col("th")), "left")
     return met.select("row", F.arrow_udf(_cut, _CUT_SQL)(utf8(F.col("row")[text_col]), "cuts").alias("cut"))
