@@ -8,11 +8,12 @@ n-grams scores it by the mean log frequency of those it knows. A text's score
 is the sum over its words, and the answer the best language, ties to the
 first by code point.
 
-The model is fitted on a bounded sample: train_docs labelled rows, chosen by
-a hash of text and label; then max_words words and max_grams n-grams, the most
-frequent ones, ties by spelling. So its size is bounded whatever the input's, and it can be
-sent to every task. Counts are summed by the cluster; only the model reaches
-the driver. Prediction reads every whole text.
+The model is fitted on a bounded sample: about train_docs labelled rows, drawn
+by a hash of the id (twice as many at most, if ids repeat); then max_words
+words and max_grams n-grams, the most frequent ones, ties by spelling. So its
+size is bounded whatever the input's, and it can be sent to every task. Counts
+are summed by the cluster; only the model reaches the driver. Prediction reads
+every whole text.
 
 Defined results: null text, or text without a letter, gives `und` with score
 0, as does every text if no row is labelled; a text of which nothing is known
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, slices
+from .common import packed, slices, written
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -60,12 +61,15 @@ class Model:
     grams: dict[str, tuple[int, ...]]
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", train_docs: int = 20_000, max_words: int = 100_000, max_grams: int = 60_000, max_langs: int = 500) -> Model:
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_docs: int = 20_000, max_words: int = 100_000, max_grams: int = 60_000, max_langs: int = 500) -> Model:
     """labelled: rows to learn from; rows without text or label don't count."""
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
-    n = rows.count()
-    lot = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = rows.where(lot <= F.lit(min(1.0, 1.2 * train_docs / max(n, 1)))).limit(train_docs)
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null")
+    lot = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    sample = rows.where(lot <= F.lit(min(1.0, train_docs / max(rows.select("id").count(), 1))))
+    n = sample.select("id").count()
+    if n > 2 * train_docs:  # many rows of one id
+        sample = sample.where(F.rand(0) < 2 * train_docs / n)
+    sample = sample.where("text is not null").select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[tuple[str, str]] = Counter()
@@ -94,7 +98,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", tra
             keys = list(found)
             yield pa.RecordBatch.from_pydict({"lang": [k[0] for k in keys], "gram": [k[1] for k in keys], "n": [found[k] for k in keys]}, schema=pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())]))
 
-    counts = sample.repartition(F.xxhash64("text")).mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = written(sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     spelled = counts.mapInArrow(spell, "lang string, gram string, n long")
     langs = [r.lang for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_langs).collect()]
     langs.sort()

@@ -276,7 +276,7 @@ def test_language_accuracy(spark):
 def test_language_backoff():
     from skyplan.llm.language_id import Model, Scorer
 
-    s = Scorer(Model(("a", "b"), {"word": (9, 1)}, {"zzz": (1, 9), "q": (9, 1)}))
+    s = Scorer(Model(("a", "b"), {"word": (9, 1), "other": (1, 9)}, {"zzz": (1, 9), "kkk": (9, 1), "q": (9, 1), "w": (1, 9)}))
     assert s.answer("word")[0] == "a" and s.answer("xzzzx")[0] == "b" and s.answer("yqy")[0] == "a"
     assert s.answer("123 ²") == ("und", 0.0)
 
