@@ -212,7 +212,7 @@ def repeated_names(docs: DataFrame, text_col: str, length: int) -> np.ndarray:
     part = F.col("name").bitwiseAND(F.lit((1 << BLOOM_PARTS) - 1))
     parts = again.repartition(1 << BLOOM_PARTS, part).mapInArrow(_bloom_part, "part int, bits binary")
     table = np.zeros((1 << BLOOM_PARTS, 1 << (BLOOM_BITS - BLOOM_PARTS - 3)), np.uint8)
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # the table, of fixed size
         table[r.part] |= np.frombuffer(r.bits, np.uint8)
     return table
 
