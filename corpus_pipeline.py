@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyplan.llm.common import read, written
+from skyplan.llm.common import read, scratch_drop, scratch_mark, written
 from skyplan.llm.decontaminate import decontaminate
 from skyplan.llm.line_dedup import dedup_lines
 from skyplan.llm.mixing import mix
@@ -61,7 +61,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, mark = read(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        scratch_drop(mark, docs)  # the stage's own tables and its input
     return docs

@@ -79,6 +79,20 @@ def written(df: DataFrame, what: str = "stage") -> DataFrame:
     return out
 
 
+def scratch_mark() -> int:
+    """Where scratch_drop() is to begin."""
+    return len(_WRITTEN)
+
+
+def scratch_drop(mark: int, keep: DataFrame) -> None:
+    """Delete what was written since the mark, but for one table: for callers
+    that have used up everything else that they made."""
+    for spark, path in _WRITTEN[mark:]:
+        if path != keep.skyplan_path:
+            drop(spark, path)
+    _WRITTEN[mark:] = [x for x in _WRITTEN[mark:] if x[1] == keep.skyplan_path]
+
+
 def release(df: DataFrame) -> None:
     """Delete the files of a table made by written() that is no longer read."""
     drop(df.sparkSession, df.skyplan_path)
