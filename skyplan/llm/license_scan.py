@@ -196,7 +196,7 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     rows = packed(files).select("row", F.coalesce(F.col("row")[path_col].cast("string"), F.lit("")).alias("path"))
     scanned = rows.select(F.col("row").dropFields(f"`{text_col}`").alias("row"), "path", F.regexp_replace("path", "/?[^/]*$", "").alias("dir"), F.arrow_udf(own, _OWN_SQL)(utf8(F.col("row")[text_col])).alias("own"))
     scanned = written(scanned, "licences")
-    near = inherited(scanned)
+    near = written(inherited(scanned), "inherited")  # a plain table, so that the join with one crowded directory can be split
     met = scanned.join(near, F.col("dir") == F.col("below"), "left")
     has = F.col("own.licence").isNotNull()
     return met.select("row", "path", "own", F.coalesce("own.licence", "near.licence").alias("licence"), F.when(has, F.col("path")).otherwise(F.col("near.ancestor")).alias("origin"))
