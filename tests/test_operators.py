@@ -209,6 +209,18 @@ def test_patrol_and_flags(spark):
     assert {k for k, v in f.items() if v is True} == {"flag_ag1", "flag_inr1", "flag_el1"}
 
 
+def test_report_round_trip(spark):
+    from skyplan.sources.report import report_html
+
+    r = spark.createDataFrame([(1, 500, 40, 12, 3, "10", "2 (1)", 0), (2, 300, 40, 12, 3, "9", "2", 1)], "design_id int, sky_sum int, std_sum int, sky_min int, std_min int, ag_sum string, ag1 string, unfib_bright int")
+    page = report_html(design.report_flags(r), "a & b")
+    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
+    cells = {r.row_no: r.cells for r in text.html_rows(pages).collect()}
+    assert cells[0][:4] == ["design_id", "unfib_bright", "ag1", "ag_sum"] and cells[2][0] == "2"
+    found = {(r.row, cells[0][r.col]) for r in text.highlighted_cells(pages).collect()}
+    assert found == {(0, "ag1"), (1, "sky_sum"), (1, "ag_sum")}
+
+
 def test_config(tmp_path):
     text_ = "[a]\nx = 1\n[b]\ny = 2\n[a]\nz = 3\n[a.c]\nw = 'q'\n"
     parsed = config.parse(text_)
