@@ -327,7 +327,7 @@ def test_licences(spark):
     apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\nhttp://www.apache.org/licenses/LICENSE-2.0\n"
     files = [
         ("/p/LICENSE", "Released under the MIT License.\n"), ("/p/a/x.py", "import os\nprint(os.name)\n"), ("/p/b/LICENSE", apache), ("/p/b/c/d/y.py", "x = 1"),
-        ("/p/b/c/own.py", "# This work is licensed under the GNU General Public License, version 3.\nx = 2\n" + "y = 3\n" * 50), ("/q/z.py", "nothing"), ("/LICENSE2", "All rights reserved? no"),
+        ("/p/b/c/own.py", "# This work is licensed under the GNU General Public License, version 3.\nx = 2\n" + "y = 3\n" * 50), ("/q/z.py", "nothing"), ("/notes", "some of the tables at the window were reserved for the guests of the evening"),
     ]
     got = {r.path: (r.licence, r.origin) for r in scan_licenses(spark.createDataFrame(files, "path string, text string")).collect()}
     assert got["/p/a/x.py"] == ("MIT", "/p") and got["/p/b/c/d/y.py"] == ("Apache-2.0", "/p/b")
