@@ -61,7 +61,7 @@ class Model:
     grams: dict[str, tuple[int, ...]]
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_docs: int = 20_000, max_words: int = 100_000, max_grams: int = 60_000, max_langs: int = 500) -> Model:
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", train_docs: int = 20_000, max_words: int = 50_000, max_grams: int = 40_000, max_langs: int = 500) -> Model:
     """labelled: rows to learn from; rows without text or label don't count."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang is not null")
     lot = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -105,15 +105,16 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     index = {x: i for i, x in enumerate(langs)}
 
     def most(table: DataFrame, key: str, limit: int) -> dict[str, tuple[int, ...]]:
+        """Flat rows in Arrow's form: as rows of lists they would take the
+        driver ten times the memory."""
         each = table.groupBy(key).agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-        out = {}
-        for r in each.orderBy(F.col("total").desc(), key).limit(limit).collect():
-            row = [0] * len(langs)
-            for x in r["by"]:
-                if x.lang in index:
-                    row[index[x.lang]] += x.n
-            out[r[key]] = tuple(row)
-        return out
+        best = each.orderBy(F.col("total").desc(), key).limit(limit)
+        flat = best.select(key, F.inline("by")).toArrow()
+        out: dict[str, list[int]] = {}
+        for k, lang, n in zip(*(flat.column(c).to_pylist() for c in (key, "lang", "n"))):
+            if lang in index:
+                out.setdefault(k, [0] * len(langs))[index[lang]] += n
+        return {k: tuple(v) for k, v in out.items()}
 
     return Model(tuple(langs), most(counts, "word", max_words), most(spelled, "gram", max_grams))
 
