@@ -73,7 +73,7 @@ def written(df: DataFrame, what: str = "stage") -> DataFrame:
     that survives the loss of an executor."""
     spark = df.sparkSession
     path = new_path(spark, what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.skyplan_path = path
     return out

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import packed, slices, splitmix, text_hash, utf8, written
+from .common import packed, release, slices, splitmix, text_hash, utf8, written
 from .dc3 import MAX_SYMBOLS, suffix_array
 
 LENGTH, GRAM = 100, 32
@@ -385,20 +385,24 @@ def _emit_starts(length: int):
 
 
 def _settle(runs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """runs, a written table -> intervals of whole runs that also start
-    earlier elsewhere; the earliest runs whose name has another place, with
-    the bytes of their class."""
+    """runs, a written table that is deleted in the end -> intervals of whole
+    runs that also start earlier elsewhere; the earliest runs whose name has
+    another place, with the bytes of their class."""
+    spark = runs.sparkSession
     place = F.struct(*place_columns())
     heads = runs.groupBy("name", "f", "size").agg(F.min(F.struct(*place_columns(), "ctx", "places")).alias("m"), F.count("*").alias("n"))
     heads = written(heads.select("name", "f", "size", "m.*", "n"), "heads")
-    _collect_garbage(runs.sparkSession)
+    _collect_garbage(spark)
     lead = heads.where("n > 1").select("name", "f", "size", place.alias("first"))
     whole = runs.select("name", "f", "size", *place_columns()).join(lead, ["name", "f", "size"]).where(place > F.col("first"))
     whole = written(whole.select("id", "th", F.col("lo").alias("a"), (F.col("lo") + F.col("size") + (length - 1)).alias("b")), "whole")
+    release(runs)
+    _collect_garbage(spark)
     classes = heads.groupBy("name").agg(F.sum(F.col("size") + (length - 1)).alias("bytes"), F.count("*").alias("k"), F.max("places").alias("p"))
     classes = written(classes.where("k > 1 or p > 1").select("name", "bytes"), "classes")  # so that a join of both can be split
     left = written(heads.join(classes, "name").select("name", "f", *place_columns(), "size", "places", "ctx", "bytes"), "left")
-    _collect_garbage(runs.sparkSession)
+    release(heads)
+    _collect_garbage(spark)
     return whole, left
 
 
@@ -416,15 +420,17 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     small = left.where(F.col("bytes") <= block).repartition("name").sortWithinPartitions("name", *place_columns())
     found = written(small.mapInArrow(resolve_blocks(length, block), f"id {id_type}, th long, a long, b long"), "cuts")
     out = whole.unionByName(found)
+    _collect_garbage(spark)
     large = left.where(F.col("bytes") > block)
     if not large.isEmpty():
-        parts = written(large.mapInArrow(_emit_parts(length), run_sql), "parts")
-        again, rest = _settle(parts, length)
+        again, rest = _settle(written(large.mapInArrow(_emit_parts(length), run_sql), "parts"), length)
         starts = rest.mapInArrow(_emit_starts(length), f"h1 long, h2 long, no_id boolean, id {id_type}, th long, lo long")
         place = F.struct(*place_columns())
         earliest = starts.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first")
         crowd = starts.join(earliest, ["h1", "h2"]).where(place > F.col("first")).select("id", "th", F.col("lo").alias("a"), (F.col("lo") + length).alias("b"))
         out = out.unionByName(again).unionByName(written(crowd, "cuts"))
+        release(rest)
+    release(left)
     _collect_garbage(spark)
     return out
 
