@@ -37,7 +37,6 @@ METRICS = pa.struct(
 )
 METRICS_SQL = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,base_failed:boolean,kept:boolean>"
 
-_NOT_SPACE = bytes(x for x in range(256) if not (x == 0x20 or 9 <= x <= 0x0D))
 _NOT_SYMBOL = bytes(x for x in range(256) if x not in SYMBOLS)
 _NOT_BANG = bytes(x for x in range(256) if x != 0x21)
 _NOT_UPPER = bytes(x for x in range(256) if not 65 <= x <= 90)
