@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_divide
@@ -15,6 +15,7 @@ PRIORITY_VALUES = {0: 100.0, 1: 5.0, 2: 1.0, 3: 1.0, 4: 0.5, 5: 0.5, 6: 0.4, 9:
 #: observed and of calibration targets, and how many of these are asked for.
 QUEUE_COSTS = {999: 200, 0: 100, 1: 90, 2: 80, 3: 70, 4: 60, 5: 50, 6: 40, 7: 30, 8: 20, 9: 10}
 PARTIAL_COST, CALIBRATION_COST, N_STANDARDS, N_SKY = 200, 200, 200, 400
+CLASSIC_CALIBRATION_COST = 2000
 
 
 def priority_value(priority: Column | str = "priority") -> Column:
@@ -25,6 +26,18 @@ def priority_value(priority: Column | str = "priority") -> Column:
     return out.otherwise(0.0)
 
 
+def class_costs(spark: SparkSession, classic: list[float] | None = None) -> DataFrame:
+    """(class, n_required, cost, partial_cost, calibration) of the queue, or
+    of classical runs by the costs of P0 to P10: partial ones cost the most of
+    these, and calibration targets aren't asked for."""
+    costs = QUEUE_COSTS if classic is None else dict(enumerate(classic))
+    partial = PARTIAL_COST if classic is None else max(classic)
+    rows = [(f"sci_P{p}", 0, float(c), float(partial), False) for p, c in costs.items()]
+    for name, n in (("cal", N_STANDARDS), ("sky", N_SKY)):
+        rows.append((name, n if classic is None else 0, float(CALIBRATION_COST if classic is None else CLASSIC_CALIBRATION_COST), 0.0, True))
+    return spark.createDataFrame(rows, "class string, n_required int, cost double, partial_cost double, calibration boolean")
+
+
 def credited(target: DataFrame) -> DataFrame:
     """Fibre hours credited by proposal."""
     return target.groupBy("proposal_id").agg((F.sum(F.least("exptime_done", "exptime")) / 3600).alias("fh_credited"))

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geometry import SECTOR_RINGS, sector_points, separation
+from ..functions.geometry import sector_points, separation
 
 
 def _band(dec: Column, radius: float) -> Column:
@@ -143,5 +143,3 @@ def sector_stats(fibers: DataFrame, design: str = "design_id") -> DataFrame:
         F.when(F.count("*") < 12, F.lit(0)).otherwise(F.min("n")).cast("long").alias("min"), F.max("n").alias("max"), F.sum("n").alias("sum"),
     )
 
-
-RING_COUNT = 1 + sum(n for _, n, _ in SECTOR_RINGS)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from ..operators import design, output, schedule, targets
+from ..operators import design, output, pointing, schedule, scoring, targets
 from ..operators import validate as V
 from ..sources import tables as S
 from . import query
@@ -166,3 +166,16 @@ UNION ALL SELECT 'one_date', '*', CAST(count(DISTINCT CAST(o_orderdate AS DATE))
 def output_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("ppc_code"), (F.col("o_orderkey") % 5).alias("ppc_ra"), (F.col("o_orderkey") % 2).alias("ppc_dec"), F.col("o_orderdate").alias("obstime"))
     return V.all_rules(V.code_with_places(o), V.one_date(o))
+
+
+@query("""
+WITH q AS (SELECT CAST(k AS INTEGER) AS k FROM range(10) g(k))
+SELECT 'queue' AS mode, 'sci_P' || CAST(k AS VARCHAR) AS class, 0 AS n_required, 100.0 - 10 * k AS cost, 200.0 AS partial_cost FROM q
+UNION ALL SELECT * FROM (VALUES ('queue', 'sci_P999', 0, 200.0, 200.0), ('queue', 'cal', 200, 200.0, 0.0), ('queue', 'sky', 400, 200.0, 0.0), ('classic', 'cal', 0, 2000.0, 0.0), ('classic', 'sky', 0, 2000.0, 0.0), ('classic', 'sci_P10', 0, 1.0, 100.0))
+UNION ALL SELECT 'classic', 'sci_P' || CAST(k AS VARCHAR), 0, 100.0 - 10 * k, 100.0 FROM q
+""")
+def class_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linear = pointing.check_costs([float(c) for c in pointing.COST_PATTERNS["linear_100_to_1"]])
+    both = [(m, scoring.class_costs(spark, c)) for m, c in (("queue", None), ("classic", linear))]
+    rows = [t.withColumn("mode", F.lit(m)) for m, t in both]
+    return rows[0].unionByName(rows[1]).select("mode", "class", "n_required", "cost", "partial_cost")

@@ -13,8 +13,6 @@ from pyspark.sql.types import StructType
 from ..functions.scalar import is_date, parse_hst
 from ..operators.targets import union_all
 
-DESIGN_HEADER = "design_name string, design_id long, ra double, dec double, pa double"
-LOG = "N long, psl_id string, ob_code string, ref_arm string, eff_exptime_done_real double, exptime_done_real double"
 SECONDS_PER_EXPOSURE = 450.0
 
 
