@@ -6,10 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.workers import let_workers_import
+
 RA, DEC = 137.508, 61.8034
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    let_workers_import(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
