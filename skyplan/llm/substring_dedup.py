@@ -33,7 +33,9 @@ Very long texts are scanned in overlapping pieces.
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -442,8 +444,12 @@ def place_columns() -> list[str]:
 
 def _collect_garbage(spark: SparkSession) -> None:
     """Shuffle files of finished stages are deleted when the driver collects
-    its garbage; the next stage needs the disk."""
-    spark.sparkContext._jvm.System.gc()
+    its garbage, first Python's, which holds on to Spark's; the next stage
+    needs the disk."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def unite(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
