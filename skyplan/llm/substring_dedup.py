@@ -193,26 +193,44 @@ def _slots(names: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def _bloom_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One table per part of the names in this partition."""
-    tables: dict[int, np.ndarray] = {}
+    """Over names sorted by part: a table for each part, one at a time."""
+    current, table = None, None
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([np.packbits(table).tobytes()], pa.binary())], names=["part", "bits"])
+
     for batch in batches:
-        names = batch.column(0).to_numpy().view(np.uint64)
-        part, slots = _slots(names)
+        part, slots = _slots(batch.column(0).to_numpy().view(np.uint64))
         for p in np.unique(part).tolist():
-            table = tables.setdefault(p, np.zeros(1 << (BLOOM_BITS - BLOOM_PARTS), bool))
+            if p != current:
+                if current is not None:
+                    yield row()
+                current, table = p, np.zeros(1 << (BLOOM_BITS - BLOOM_PARTS), bool)
             for s in slots:
                 table[s[part == p]] = True
+    if current is not None:
+        yield row()
+
+
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tables: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for p, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = np.frombuffer(bits, np.uint8)
+            tables[p] = own | tables[p] if p in tables else own
     for p, table in tables.items():
-        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([np.packbits(table).tobytes()], pa.binary())], names=["part", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([table.tobytes()], pa.binary())], names=["part", "bits"])
 
 
 def repeated_names(docs: DataFrame, text_col: str, length: int) -> np.ndarray:
     """Bloom table, of 2^BLOOM_BITS bits whatever the input, of the names that
-    occur twice or more."""
+    occur twice or more. Each of its parts is made by several tasks, whose
+    tables are united before they reach the driver."""
     names = docs.select(utf8(text_col).alias("t")).mapInArrow(_emit_names(length), "name long")
     again = names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
     part = F.col("name").bitwiseAND(F.lit((1 << BLOOM_PARTS) - 1))
-    parts = again.repartition(1 << BLOOM_PARTS, part).mapInArrow(_bloom_part, "part int, bits binary")
+    some = again.repartition(part, F.xxhash64("name") % 1024).sortWithinPartitions(part).mapInArrow(_bloom_part, "part int, bits binary")
+    parts = some.repartition("part").mapInArrow(_united, "part int, bits binary")
     table = np.zeros((1 << BLOOM_PARTS, 1 << (BLOOM_BITS - BLOOM_PARTS - 3)), np.uint8)
     for r in parts.collect():  # the table, of fixed size
         table[r.part] |= np.frombuffer(r.bits, np.uint8)
