@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import altitude, rotator_angle
 from ..functions.scalar import SLOT_SECONDS, arms, col
+from .spatial import cut_lineage
 
 #: Degrees at which the rotator wraps.
 WRAP_EDGE = 170.0
@@ -118,14 +119,18 @@ def timeline(schedule: DataFrame) -> DataFrame:
 def greedy_schedule(candidates: DataFrame, slots_per_night: int) -> DataFrame:
     """candidates (night, ppc, score): slots go to the best pointings of each
     night that no earlier night had. Rounds run over nights, each with a
-    distributed top-k; not equal to the planner with slew and delay costs."""
+    distributed top-k, and cut the lineage, or a plan would hold all earlier
+    rounds; not equal to the planner with slew and delay costs."""
+    candidates = cut_lineage(candidates)  # each round reads them again
     nights = [r[0] for r in candidates.select("night").distinct().orderBy("night").collect()]
     out = None
-    for night in nights:
+    for k, night in enumerate(nights, 1):
         free = candidates.where(F.col("night") == F.lit(night))
         if out is not None:
             free = free.join(out.select("ppc"), "ppc", "left_anti").select(*candidates.columns)
         best = free.orderBy(F.col("score").desc(), "ppc").limit(slots_per_night)
-        best = best.withColumn("slot", F.row_number().over(Window.orderBy(F.col("score").desc(), "ppc")))
+        best = cut_lineage(best.withColumn("slot", F.row_number().over(Window.orderBy(F.col("score").desc(), "ppc"))))
         out = best if out is None else out.unionByName(best)
+        if k % 8 == 0:
+            out = cut_lineage(out.coalesce(1))  # else every night stays a table of its own
     return candidates.limit(0).withColumn("slot", F.lit(0)) if out is None else out

@@ -19,3 +19,15 @@ def test_gaps_of_every_event(spark, monkeypatch):
     con.sql(f"create view events as select * from '{SF}/events.parquet'")
     want = con.sql(plans.ORACLE_SQL["schedule_gaps_by_user"]).fetchall()
     assert sorted(map(tuple, plans.QUERIES["schedule_gaps_by_user"](spark, SF).select("night", "gap_start", "gap_stop").collect())) == sorted(want)
+
+
+def test_every_night_is_scheduled(spark):
+    con = duckdb.connect()
+    scores = con.sql(f"SELECT CAST(ts AS DATE) AS night, user_id, sum(value) AS score FROM '{SF}/events.parquet' GROUP BY ALL ORDER BY night, score DESC, user_id").fetchall()
+    want, taken = [], set()
+    for night in sorted({x[0] for x in scores}):
+        best = [x[1] for x in scores if x[0] == night and x[1] not in taken][:3]
+        taken |= set(best)
+        want += [(night, ppc, slot) for slot, ppc in enumerate(best, 1)]
+    got = plans.QUERIES["greedy_schedule"](spark, SF).select("night", "ppc", "slot").collect()
+    assert len({x[0] for x in want}) == 30 and sorted(map(tuple, got)) == sorted(want)
