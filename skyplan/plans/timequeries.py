@@ -164,6 +164,9 @@ def html_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN 'S24A-' || CAST(100 + conv_id % 900 AS VARCHAR) END AS proposal_id FROM conversations WHERE turn % 3 = 0
 """)
 def schedule_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read(spark, sf_dir, "conversations").where("turn % 3 = 0")
-    line = F.concat(F.lit("18:30-23:00 {grey} SPEC (someone; S24A-"), (100 + F.col("conv_id") % 900).cast("string"), F.lit(") and more"))
+    """Every third line holds an entry; the others, as they are, should not,
+    so that an entry found in them shows as a row that the SQL lacks."""
+    c = read(spark, sf_dir, "conversations")
+    entry = F.concat(F.lit("18:30-23:00 {grey} SPEC (someone; S24A-"), (100 + F.col("conv_id") % 900).cast("string"), F.lit(") and more"))
+    line = F.when(F.col("turn") % 3 == 0, entry).otherwise(F.col("text"))
     return T.schedule_entries(c.select("conv_id", "turn", line.alias("line")), "SPEC").select("conv_id", "turn", "proposal_id")

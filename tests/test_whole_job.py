@@ -31,3 +31,10 @@ def test_every_night_is_scheduled(spark):
         want += [(night, ppc, slot) for slot, ppc in enumerate(best, 1)]
     got = plans.QUERIES["greedy_schedule"](spark, SF).select("night", "ppc", "slot").collect()
     assert len({x[0] for x in want}) == 30 and sorted(map(tuple, got)) == sorted(want)
+
+
+def test_every_line_is_parsed(spark, tmp_path):
+    lines = [(1, 0, "hello"), (1, 1, "18:30-23:00 {grey} SPEC (someone; S24A-007)"), (1, 2, "18:30-23:00 {grey} SPEC (someone)"), (1, 4, None)]
+    spark.createDataFrame(lines, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = plans.QUERIES["schedule_entries"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(1, 0, "S24A-101"), (1, 1, "S24A-007")]
