@@ -126,6 +126,11 @@ def wedge_sector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fibers(spark, sf_dir).select("vec_id", G.wedge("x", "y").alias("wedge"))
 
 
+def _camera_counts(e: DataFrame) -> DataFrame:
+    s = e.select((F.col("vec_id") % 6).alias("design_id"), (F.col("label") % 6).cast("int").alias("cam"), (15 + F.abs(F.col("embedding")[0].cast("double")) * 20).alias("magnitude"))
+    return design.camera_counts(s)
+
+
 @query("""
 WITH s AS (SELECT vec_id % 6 AS design_id, CAST(label % 6 AS INTEGER) AS cam, 15 + abs(CAST(embedding[1] AS DOUBLE)) * 20 AS m FROM embeddings WHERE label < 8),
 c AS (SELECT DISTINCT design_id, CAST(k AS INTEGER) AS cam FROM s, range(6) t(k)),
@@ -133,9 +138,19 @@ n AS (SELECT c.design_id, c.cam, count(m) AS n, count(*) FILTER (WHERE m <= 19)
 SELECT design_id, cam, n, n_bright FROM n UNION ALL SELECT design_id, NULL, CAST(sum(n) AS BIGINT), CAST(sum(n_bright) AS BIGINT) FROM n GROUP BY design_id
 """)
 def camera_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "embeddings").where("label < 8")
-    s = e.select((F.col("vec_id") % 6).alias("design_id"), (F.col("label") % 6).cast("int").alias("cam"), (15 + F.abs(F.col("embedding")[0].cast("double")) * 20).alias("magnitude"))
-    return design.camera_counts(s)
+    """Labels below 8 are a choice of the fixture, with no stated meaning;
+    camera_counts_all reads every row."""
+    return _camera_counts(read(spark, sf_dir, "embeddings").where("label < 8"))
+
+
+@query("""
+WITH s AS (SELECT vec_id % 6 AS design_id, CAST(label % 6 AS INTEGER) AS cam, 15 + abs(CAST(embedding[1] AS DOUBLE)) * 20 AS m FROM embeddings),
+c AS (SELECT DISTINCT design_id, CAST(k AS INTEGER) AS cam FROM s, range(6) t(k)),
+n AS (SELECT c.design_id, c.cam, count(m) AS n, count(*) FILTER (WHERE m <= 19) AS n_bright FROM c LEFT JOIN s ON c.design_id = s.design_id AND c.cam = s.cam GROUP BY ALL)
+SELECT design_id, cam, n, n_bright FROM n UNION ALL SELECT design_id, NULL, CAST(sum(n) AS BIGINT), CAST(sum(n_bright) AS BIGINT) FROM n GROUP BY design_id
+""")
+def camera_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _camera_counts(read(spark, sf_dir, "embeddings"))
 
 
 @query(f"""

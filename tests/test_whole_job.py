@@ -38,3 +38,10 @@ def test_every_line_is_parsed(spark, tmp_path):
     spark.createDataFrame(lines, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     got = plans.QUERIES["schedule_entries"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == [(1, 0, "S24A-101"), (1, 1, "S24A-007")]
+
+
+def test_every_camera_and_line_counts(spark):
+    n = spark.read.parquet(f"{SF}/embeddings.parquet").count()
+    assert plans.QUERIES["camera_counts_all"](spark, SF).where("cam is null").agg({"n": "sum"}).first()[0] == n
+    pairs = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_suppkey", "l_orderkey").distinct().count()
+    assert plans.QUERIES["pointing_priority_all"](spark, SF).agg({"n_targets": "sum"}).first()[0] == pairs
