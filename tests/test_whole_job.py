@@ -45,3 +45,12 @@ def test_every_camera_and_line_counts(spark):
     assert plans.QUERIES["camera_counts_all"](spark, SF).where("cam is null").agg({"n": "sum"}).first()[0] == n
     pairs = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_suppkey", "l_orderkey").distinct().count()
     assert plans.QUERIES["pointing_priority_all"](spark, SF).agg({"n_targets": "sum"}).first()[0] == pairs
+
+
+def test_language_model_keeps_its_words(spark):
+    from skyplan.llm.language_id import fit
+
+    letters = "abcdefghijklmnopqrst"
+    words = [a + b + c + d for a in letters[:8] for b in letters for c in letters for d in letters]
+    model = fit(spark.createDataFrame([(1, "xx", " ".join(words))], "doc_id long, lang string, text string"))
+    assert len(words) == 64_000 and set(model.words) == set(words)
