@@ -3,7 +3,8 @@
 A line (text between LFs, with a character outside space and TAB..CR) that
 occurs on min_sites distinct sites or more is boilerplate: it stays where it
 first occurs (least id, then position; null ids last) and goes elsewhere, so
-no text is lost from the corpus. A HyperLogLog sketch of the sites per line,
+no text is lost from the corpus. Unless given, min_sites is 10, or half of the
+distinct sites (2 at least) where there are fewer than 19. A HyperLogLog sketch of the sites per line,
 merged by map-side aggregation, gives an estimate; lines whose estimate is
 within `band` of the threshold get an exact distinct count, so the result is
 that of exact counts unless a sketch errs by more than the band (over six
@@ -28,6 +29,8 @@ from .common import packed, text_hash, unpacked
 
 #: log2 of the registers of a sketch; its standard error is about 1.04 / 32.
 LG_K = 10
+#: min_sites, unless given: half of the distinct sites, within these bounds.
+LEAST_SITES, MOST_SITES = 2, 10
 
 
 def lines_of(docs: DataFrame, id_col: str, site_col: str, text_col: str) -> DataFrame:
@@ -63,8 +66,11 @@ def _keep(texts: pa.Array, gone: pa.Array) -> pa.Array:
 
 
 
-def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int = 10, band: float = 0.25) -> DataFrame:
+def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25) -> DataFrame:
     """Columns `row`, `n_lines`, `n_removed` and `clean` (the text left)."""
+    if min_sites is None:
+        sites = docs.select(F.xxhash64(F.col(site_col).isNull(), F.col(site_col)).alias("site")).distinct().count()
+        min_sites = max(LEAST_SITES, min(MOST_SITES, (sites + 1) // 2))
     lines = lines_of(docs, id_col, site_col, text_col)
     found = boilerplate(lines, min_sites, band)
     same = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.th") == F.col("th")) & (F.col("first.pos") == F.col("pos"))
@@ -77,7 +83,7 @@ def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "sourc
     return met.select("row", F.when(text.isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), cleaned.alias("clean"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int = 10, band: float = 0.25) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25) -> DataFrame:
     """docs with boilerplate lines removed from the text."""
     rows = with_removed(docs, id_col, site_col, text_col, min_sites, band)
     return unpacked(rows.select(F.col("row").withField(f"`{text_col}`", F.col("clean")).alias("row")))
