@@ -44,21 +44,38 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _running(rows: DataFrame, order: list[Column], sums: list[str]) -> DataFrame:
+    """rows, written, with `place` (from 0) in the given order, and for each
+    column of sums the sum of it over the rows before (`before_<column>`).
+    Ranges of the order are numbered and summed apart, so no task takes all
+    rows; the ranges' totals, one row each, are what one window runs over."""
+    spread = written(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranges")
+    totals = spread.groupBy("part").agg(F.count("*").alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in sums])
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("part", *[F.coalesce(F.sum(c).over(ahead), F.lit(0)).alias(f"off_{c}") for c in ("n", *(f"sum_{c}" for c in sums))])
+    within = Window.partitionBy("part").orderBy(*order)
+    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+    met = spread.join(offsets, "part")
+    place = F.row_number().over(within) - 1 + F.col("off_n")
+    before = [(F.coalesce(F.sum(c).over(earlier), F.lit(0)) + F.col(f"off_sum_{c}")).alias(f"before_{c}") for c in sums]
+    return met.select(*rows.columns, place.alias("place"), *before)
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """sizes (source, size) -> (source, source_size, n_docs, target); the windows run
-    over one row per source, not over documents."""
+    """sizes (source, size) -> (source, source_size, n_docs, target). In the
+    order in which a rising level meets the caps, the level is that of the
+    first source that stays below its cap."""
     each = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    by_name = _running(each, [F.col("source").asc_nulls_last()], [])
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    each = each.withColumn("weight", F.element_at(cycle, (F.pmod(rank, F.lit(len(weights))) + 1).cast("int")))
-    # in the order in which a rising level meets the caps
-    order = Window.orderBy((F.col("source_size") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    below, rest, whole = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy()
-    level = (share * F.sum("source_size").over(whole) - most * F.coalesce(F.sum("source_size").over(below), F.lit(0))) / F.sum("weight").over(rest)
-    each = each.withColumn("level", level).withColumn("free", F.col("level") * F.col("weight") <= most * F.col("source_size"))
-    each = each.withColumn("final", F.min(F.when(F.col("free"), F.struct(F.col("source_size") / F.col("weight"), F.col("level").alias("level")))).over(whole)["level"])
-    target = F.least(most * F.col("source_size"), F.coalesce(F.col("final") * F.col("weight"), most * F.col("source_size")))
-    return each.select("source", "source_size", "n_docs", target.cast("double").alias("target"))
+    each = by_name.withColumn("weight", F.element_at(cycle, (F.pmod("place", F.lit(len(weights))) + 1).cast("int"))).drop("place")
+    each = written(_running(each, [(F.col("source_size") / F.col("weight")).asc(), F.col("source").asc_nulls_last()], ["source_size", "weight"]), "levels")
+    whole = each.agg(F.sum("source_size").alias("all_size"), F.sum("weight").alias("all_weight"))
+    level = (share * F.col("all_size") - most * F.col("before_source_size")) / (F.col("all_weight") - F.col("before_weight"))
+    free = each.crossJoin(whole).withColumn("level", level).where(F.col("level") * F.col("weight") <= most * F.col("source_size"))  # whole is one row
+    final = free.agg(F.min_by("level", "place").alias("level"))
+    target = F.least(most * F.col("source_size"), F.coalesce(F.col("level") * F.col("weight"), most * F.col("source_size")))
+    return each.crossJoin(final).select("source", "source_size", "n_docs", target.cast("double").alias("target"))
 
 
 #: log2 of the fan-in of the reduction tree.
@@ -159,7 +176,9 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The rows of docs that the mix takes, with their number of copies in
-    the column mix_copies and the words taken in mix_words."""
+    the column mix_copies and the words taken in mix_words, which take the
+    place of columns of docs so named."""
+    docs = docs.drop("mix_copies", "mix_words")
     found = mixture(docs, id_col, source_col, text_col, weights, share, most).where("copies > 0").select(F.col("id").alias("a"), F.col("th").alias("b"), F.col("n").alias("c"), "copies", "size")
     rows = packed(docs).select("row", F.col("row")[id_col].alias("id"), text_hash(F.col("row")[text_col]).alias("th"))
     alike = Window.partitionBy("id", "th").orderBy(F.col("row")[source_col])
