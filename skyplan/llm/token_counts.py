@@ -18,6 +18,12 @@ Sections are the lines of a text, each with its LF, or the spans that the
 caller gives (sorted, adjoining; bytes outside all of them belong to the one
 before, at the start to the first).
 
+The tokenizer's regular expression keeps a place to go back to for each
+character of a run of white space, and fails on runs of about a million. So a
+long run is taken out first by the pattern's own rule (all of it, less the
+last character if another one follows) and encoded as the one piece that it
+is; the tokens are those of the whole text.
+
 Defined results: null or empty text has no tokens and no sections; every
 length is encoded whole; repeated rows get equal results; an empty table gives
 an empty result; other columns pass through untouched.
@@ -26,6 +32,7 @@ an empty result; other columns pass through untouched.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from pathlib import Path
 
@@ -40,6 +47,12 @@ from .common import utf8
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the split pattern that belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: How patterns end of which the rule for white space is known,
+#: and the characters of \\s.
+BLANK_RULE = r"|\s+(?!\S)|\s+"
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space of this length or more are encoded apart.
+LONG_BLANK = 10_000
 RULES = ("most", "first", "share")
 #: A vocabulary is sent to every task, so its size is checked.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -49,16 +62,28 @@ _COUNTS = pa.struct([("n_tokens", pa.int64()), ("n_crossing", pa.int64()), ("by_
 
 
 class Encoder:
-    def __init__(self, vocabulary: bytes, pattern: str = PATTERN):
+    def __init__(self, vocabulary: bytes, pattern: str = PATTERN, long_blank: int = LONG_BLANK):
+        self.long_blank = re.compile(f"[{BLANKS}]{{{long_blank},}}") if pattern.endswith(BLANK_RULE) else None
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
 
+    def tokens(self, text: str) -> list[int]:
+        if self.long_blank is None:
+            return self.encoding.encode_ordinary(text)
+        out, at = [], 0
+        for run in self.long_blank.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            out += self.encoding.encode_ordinary(text[at : run.start()])
+            out += self.encoding._encode_single_piece(text[run.start() : end])
+            at = end
+        return out + self.encoding.encode_ordinary(text[at:])
+
     def ends(self, text: str) -> np.ndarray:
         """The byte offset at which each token of the text ends."""
-        return np.cumsum(self.lengths[np.array(self.encoding.encode_ordinary(text), np.int64)])
+        return np.cumsum(self.lengths[np.array(self.tokens(text), np.int64)])
 
 
 def line_ends(data: bytes) -> np.ndarray:
