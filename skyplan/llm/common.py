@@ -10,6 +10,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,11 @@ from ..sources.workers import let_workers_import
 #: A-Z to a-z on UTF-8 bytes; other bytes stay.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
+#: A-Z to a-z, and blanks for what is no digit, letter or byte over 0x7F.
+_SEPARATE = bytes(
+    x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122 or x >= 0x80 else 0x20 for x in range(256)
+)
+
 _FOLDERS: dict[str, SparkSession] = {}
 
 
@@ -82,6 +88,16 @@ def written(df: DataFrame, what: str = "stage") -> DataFrame:
     return out
 
 
+#: Rows of a narrow table that are sent to every task at most.
+SMALL_ROWS = 100_000
+
+
+def sent_if_small(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A written table, marked for broadcast if it has few rows; else it is
+    joined by its keys, on which adaptive execution can split a common one."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def scratch_mark() -> int:
     """Where scratch_drop() is to begin."""
     return len(_WRITTEN)
@@ -137,3 +153,47 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+_ODD = 0x9E3779B97F4A7C15
+_INVERSE = pow(_ODD, -1, 1 << 64)
+
+
+@cache
+def _codes() -> np.ndarray:
+    return splitmix(np.arange(0x110000, dtype=np.uint64))
+
+
+@cache
+def _powers(base: int, bits: int) -> np.ndarray:
+    out = np.full(1 << bits, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+class Points:
+    """Characters (or bytes) with the sums that give the hash of any run of them."""
+
+    def __init__(self, points: np.ndarray):
+        self.points, self.bits = points, max(10, len(points).bit_length())
+        self.sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(_codes()[points] * _powers(_ODD, self.bits)[: len(points)], out=self.sums[1:])
+
+    @classmethod
+    def of(cls, text: str) -> Points:
+        return cls(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
+
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        run = (self.sums[end] - self.sums[begin]) * _powers(_INVERSE, self.bits)[begin]
+        return splitmix(run + (end - begin).astype(np.uint64))
+
+
+def expand(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For groups of the given sizes: each member's group, and its number in it."""
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    return group, np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def words_of(data: bytes | None) -> list[bytes]:
+    """Runs of digits, letters (A-Z lower-cased) and bytes over 0x7F."""
+    return (data or b"").translate(_SEPARATE).split()

@@ -9,9 +9,12 @@ words, all its last words are hit; short items are found on the path of
 suffix links.
 
 The items are the query set. They are read in blocks of at most block_words
-words, so that what is sent to the tasks is bounded whatever their number;
-with more than one block, each scans all rows, and the found spans are
-written between blocks and united.
+words, so that what is sent to the tasks is bounded whatever their number.
+One block scans all rows as they are. Several are grouped, and the hashes of
+a group's windows (group_words at most, 8 bytes each) are sent first: one scan
+writes the texts that hold any such hash, no true one is missed, and only
+these, usually few, go through the group's automata. Spans and item ids by
+text are all that is written then; rows meet them in one join by text.
 
 The scan skips stretches that can't hold a window: a window of m words needs
 m - 2 consecutive three-word runs of the items, and a table of their hashes
@@ -28,28 +31,22 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
-from itertools import repeat
+from functools import reduce
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, packed, release, splitmix, unpacked, utf8, written
+from .common import LOWER, Points, packed, release, sent_if_small, splitmix, unpacked, utf8, words_of, written
 
 WINDOW = 10
-_SEPARATE = bytes(
-    x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122 or x >= 0x80 else 0x20 for x in range(256)
-)
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _GATE_BITS = 22
 
 
-def words_of(data: bytes | None) -> list[bytes]:
-    return (data or b"").translate(_SEPARATE).split()
-
-
 class Automaton:
     """Generalised suffix automaton over the words of a block of items."""
 
@@ -227,40 +224,121 @@ def _automaton(name: str, items: list[tuple[str, list[bytes]]], window: int) ->
 
 
 def _scanner(shared: Broadcast, window: int):
+    """Text -> its words, hit words, spans and items."""
     name = uuid.uuid4().hex
 
-    def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
+    def scan(texts: pa.Array) -> pa.Array:
         automaton = _automaton(name, shared.value, window)
         out = []
-        for text, old in zip(texts, before):
+        for text in texts:
             words = words_of(text.as_py())
             spans, found = automaton.scan(words)
-            if old.is_valid:
-                spans = _unite(spans + _pairs(old["spans"].as_py()))
-                found |= set(old["items"].as_py())
             out.append({"n_words": len(words), "n_hit": sum(b - a for a, b in spans), "spans": [x for s in spans for x in s], "items": sorted(found)})
         return pa.array(out, _FOUND)
 
     return F.arrow_udf(scan, _FOUND_SQL).asNondeterministic()
 
 
-def scan_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = 100_000) -> DataFrame:
+def window_hashes(data: bytes, sizes: list[int]) -> np.ndarray:
+    """The hashes of all runs of so many words; words are spaced by one blank."""
+    chars = Points(np.frombuffer(b" ".join(words_of(data)), np.uint8))
+    blank = np.flatnonzero(chars.points == 0x20)
+    begin = np.concatenate(([0], blank + 1)) if len(chars.points) else blank
+    end = np.append(blank, len(chars.points)) if len(chars.points) else blank
+    return np.concatenate([chars.hashes(begin[: len(begin) - n + 1], end[n - 1 :]) for n in sizes if n <= len(begin)] or [np.zeros(0, np.uint64)])
+
+
+def _gate(block: list[tuple[str, list[bytes]]], window: int) -> dict[int, set[int]]:
+    """The hashes of a block's windows, by their number of words."""
+    out: dict[int, set[int]] = {}
+    for _, words in block:
+        if words:
+            n = min(window, len(words))
+            out.setdefault(n, set()).update(window_hashes(b" ".join(words), [n]).tolist())
+    return out
+
+
+def _holding(shared: Broadcast):
+    """Whether a text holds any of the hashes."""
+
+    def hold(texts: pa.Array) -> pa.Array:
+        sizes, hashes = shared.value
+        out = []
+        for text in texts:
+            own = window_hashes(text.as_py() or b"", sizes)
+            at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+            out.append(bool(len(hashes)) and bool((hashes[at] == own).any()))
+        return pa.array(out, pa.bool_())
+
+    return F.arrow_udf(hold, "boolean").asNondeterministic()
+
+
+def _united(texts: pa.Array, found: pa.Array) -> pa.Array:
+    """The words of a text, and what the blocks found in it as one."""
+    out = []
+    for text, each in zip(texts, found):
+        parts = each.as_py() or []
+        spans = _unite([s for x in parts for s in _pairs(x["spans"])])
+        out.append({"n_words": len(words_of(text.as_py())), "n_hit": sum(b - a for a, b in spans), "spans": [x for s in spans for x in s], "items": sorted({i for x in parts for i in x["items"]})})
+    return pa.array(out, _FOUND)
+
+
+def _grouped(blocks: Iterator[list[tuple[str, list[bytes]]]], group_words: int) -> Iterator[list[list[tuple[str, list[bytes]]]]]:
+    group, size = [], 0
+    for block in blocks:
+        n = sum(len(words) for _, words in block)
+        if group and size + n > group_words:
+            yield group
+            group, size = [], 0
+        group.append(block)
+        size += n
+    if group:
+        yield group
+
+
+def _by_text(docs: DataFrame, blocks: Iterator[list[tuple[str, list[bytes]]]], text_col: str, window: int, group_words: int) -> DataFrame:
+    """(t1, t2, found) of the texts in which any block found something; texts
+    are named by two hashes."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col(text_col).cast("string").alias("t")).where("t is not null").select("t", *text_names(F.col("t")))
+    parts = []
+    for group in _grouped(blocks, group_words):
+        by_size: dict[int, set[int]] = {}
+        for block in group:
+            for n, hashes in _gate(block, window).items():
+                by_size.setdefault(n, set()).update(hashes)
+        table = np.unique(np.fromiter((h for hs in by_size.values() for h in hs), np.uint64))
+        hold = _holding(spark.sparkContext.broadcast((sorted(by_size), table)))
+        held = texts.where(hold(utf8("t"))).groupBy("t1", "t2").agg(F.first("t").alias("t"))
+        held = written(held, "held")
+        for block in group:
+            found = _scanner(spark.sparkContext.broadcast(block), window)
+            hits = held.select("t1", "t2", found(utf8("t")).alias("hit")).where("hit.n_hit > 0")
+            parts.append(written(hits.select("t1", "t2", F.struct("hit.spans", "hit.items").alias("hit")), "hits"))
+        release(held)
+    return written(reduce(DataFrame.unionByName, parts).groupBy("t1", "t2").agg(F.collect_list("hit").alias("found")), "found")  # a row per block at most
+
+
+def text_names(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
+def scan_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = 100_000, group_words: int = 8_000_000) -> DataFrame:
     """Columns `row` (the input row) and `hit` (n_words, n_hit, flat word
     spans a, b, a, b ... without overlap, item ids)."""
     spark = docs.sparkSession
-    rows, table = packed(docs).withColumn("hit", F.lit(None).cast(_FOUND_SQL)), None
     blocks = item_blocks(items, item_id, item_text, block_words)
-    block = next(blocks, [])  # without items an empty automaton still counts words
-    while block is not None:
-        found = _scanner(spark.sparkContext.broadcast(block), window)
-        rows = rows.select("row", found(utf8(F.col("row")[text_col]), "hit").alias("hit"))
-        block = next(blocks, None)
-        if block is not None:
-            old, table = table, written(rows, "scan")
-            if old is not None:
-                release(old)
-            rows = table
-    return rows
+    first = next(blocks, [])  # without items an empty automaton still counts words
+    second = next(blocks, None)
+    rows = packed(docs)
+    text = F.col("row")[text_col]
+    if second is None:
+        found = _scanner(spark.sparkContext.broadcast(first), window)
+        return rows.select("row", found(utf8(text)).alias("hit"))
+    by_text = sent_if_small(_by_text(docs, chain((first, second), blocks), text_col, window, group_words), 1000)
+    a, b = text_names(text.cast("string"))
+    met = rows.select("row", a.alias("a"), b.alias("b")).join(by_text, (F.col("a") == F.col("t1")) & (F.col("b") == F.col("t2")), "left")
+    return met.select("row", F.arrow_udf(_united, _FOUND_SQL)(utf8(text), "found").alias("hit"))
 
 
 def items_digest(items: list[str]) -> str:

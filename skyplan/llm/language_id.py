@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, release, slices, splitmix, written
+from .common import Points, expand, packed, release, slices, written
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -45,8 +45,6 @@ LONGEST = 4
 PIECE = 1 << 20
 _BLANK = re.compile(r"\s")
 _BEGIN, _END = 2, 3
-_ODD = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ODD, -1, 1 << 64)
 _ANSWER_SQL = "struct<lang:string,score:double>"
 _ANSWER = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 _COUNT = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("name", pa.string()), ("n", pa.int64())])
@@ -58,41 +56,6 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-@cache
-def _codes() -> np.ndarray:
-    return splitmix(np.arange(0x110000, dtype=np.uint64))
-
-
-@cache
-def _powers(base: int, bits: int) -> np.ndarray:
-    out = np.full(1 << bits, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-class Points:
-    """Characters with the sums that give the hash of any run of them."""
-
-    def __init__(self, points: np.ndarray):
-        self.points, self.bits = points, max(10, len(points).bit_length())
-        self.sums = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(_codes()[points] * _powers(_ODD, self.bits)[: len(points)], out=self.sums[1:])
-
-    @classmethod
-    def of(cls, text: str) -> Points:
-        return cls(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
-
-    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        run = (self.sums[end] - self.sums[begin]) * _powers(_INVERSE, self.bits)[begin]
-        return splitmix(run + (end - begin).astype(np.uint64))
-
-
-def _expand(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For groups of the given sizes: each member's group, and its number in it."""
-    group = np.repeat(np.arange(len(sizes)), sizes)
-    return group, np.arange(len(group)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-
 def pieces_of(text: str) -> Iterator[str]:
     start = 0
     while len(text) - start > PIECE:
@@ -130,7 +93,7 @@ class Spelled:
     def __init__(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray):
         self.size = end - begin + 2
         self.at = np.cumsum(self.size) - self.size
-        word, step = _expand(self.size)
+        word, step = expand(self.size)
         marked = points[np.minimum(begin[word] + np.maximum(step - 1, 0), len(points) - 1)] if len(word) else np.zeros(0, np.uint32)
         marked[step == 0] = _BEGIN
         marked[step == self.size[word] - 1] = _END
@@ -138,7 +101,7 @@ class Spelled:
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(word, first character) of each n-gram, in order."""
-        word, step = _expand(np.maximum(self.size - n + 1, 0))
+        word, step = expand(np.maximum(self.size - n + 1, 0))
         return word, self.at[word] + step
 
 
@@ -299,7 +262,7 @@ class Scorer:
     def _part(table: Counts, on: np.ndarray) -> Counts:
         at = np.flatnonzero(on)
         sizes = np.diff(table.starts)[at]
-        group, step = _expand(sizes)
+        group, step = expand(sizes)
         rows = table.starts[at][group] + step
         return Counts(None, table.hashes[at], np.append(0, np.cumsum(sizes)), table.lang[rows], table.n[rows], table.n_langs)
 
@@ -307,7 +270,7 @@ class Scorer:
         """(which of `at`, lang, what the count adds) for names of a table."""
         t = self.tables[kind]
         begin = t.starts[at]
-        which, step = _expand(t.starts[at + 1] - begin)
+        which, step = expand(t.starts[at + 1] - begin)
         rows = begin[which] + step
         return which, t.lang[rows], self.more[kind][rows]
 
@@ -337,7 +300,7 @@ class Scorer:
         lang, more = lang[order], more[order]
         sizes = np.bincount(word, minlength=len(first))
         starts = np.cumsum(sizes) - sizes
-        which, step = _expand(sizes[same])
+        which, step = expand(sizes[same])
         rows = starts[same][which] + step
         out = np.bincount(words.piece[which] * k + lang[rows], more[rows], n_pieces * k).reshape(n_pieces, k)
         used = np.bincount(words.piece * (LONGEST + 2) + kind[same] + 1, minlength=n_pieces * (LONGEST + 2)).reshape(n_pieces, LONGEST + 2)
