@@ -1,166 +1,191 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance by directory
 (operator 2).
 
-Segments of a file are its lines, its paragraphs (lines without a blank one
-between) and its whole text. A segment is compared with every template by the
-cosine of their TF-IDF vectors, sparse over the templates' terms; terms that
-no template has count in the segment's length. Document frequencies of the
-template terms are counted over all files. The best template with a cosine of
-at least min_score is the file's own licence, ties to the first template.
+Terms are runs of digits, letters (A-Z lower-cased) and bytes over 0x7F. The
+units of a file are
+  - its header: the lines before the first one without a term,
+  - the file as a whole, if it has a licence file's name,
+  - its notices: every run of as many terms as a template has (the whole
+    text, if it is shorter), wherever it stands.
+A unit is compared with every template by the cosine of their TF-IDF vectors,
+sparse over the templates' terms; terms that no template has count in the
+unit's length. Document frequencies of the template terms are counted over
+all files. A unit matches if its cosine is at least min_score and it holds all
+terms that the template requires (a licence's name or number, where licences
+differ in nothing else). The best match is the file's own licence; ties go to
+the first template, then header, file, notice, then the earliest notice.
+
+No unit is skipped that could match: a cosine is at most the norm of the part
+of the template whose terms the text holds, and at most the product divided
+by the norm that a run without repeated terms has; runs of which these bounds
+reach min_score are scored one by one.
 
 A licence file is one with a licence file's name, or one of which the matched
-segment holds at least half of the words. Its licence holds for its directory
+unit holds at least half of the terms. Its licence holds for its directory
 (several: best score, then least path), and files without an own licence
 inherit from the nearest ancestor directory that has one. Ancestors are made
 from the distinct directories, not from the files, so the join of paths is
 small and no directory's files meet in one task.
 
-Defined results: null text has no segment; null path is the root directory's
+Defined results: null text has no unit; null path is the root directory's
 unnamed file; files that repeat count as many; no template, or an empty table,
 gives no licence; other columns pass through untouched, but for the text.
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, packed, slices, utf8, written
-
-#: The notices that the licences themselves ask for, by SPDX id.
-TEMPLATES = {
-    "MIT": (
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files (the \"Software\"), to deal in the Software without restriction",
-    ),
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
-        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    ),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met",
-    ),
-    "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "Licensed under CC BY 4.0."),
-    "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ),
-    "LicenseRef-AllRightsReserved": ("All rights reserved.",),
+from .common import packed, slices, utf8, words_of, written
+
+#: SPDX ids, the names that notices use, the terms that such a
+#: notice must hold.
+NAMES = {
+    "MIT": (("MIT License", "MIT license agreement"), "mit"),
+    "Apache-2.0": (("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 license"), "apache 2"),
+    "GPL-2.0": (("GNU General Public License, version 2", "GNU General Public License v2.0", "GPLv2"), "2"),
+    "GPL-3.0": (("GNU General Public License, version 3", "GNU General Public License v3.0", "GPLv3"), "3"),
+    "LGPL-3.0": (("GNU Lesser General Public License, version 3",), "lesser 3"),
+    "AGPL-3.0": (("GNU Affero General Public License, version 3",), "affero 3"),
+    "BSD-2-Clause": (("BSD 2-Clause License", "Simplified BSD License"), "bsd"),
+    "BSD-3-Clause": (("BSD 3-Clause License", "New BSD License"), "bsd"),
+    "MPL-2.0": (("Mozilla Public License, version 2.0", "Mozilla Public License 2.0"), "mozilla 2"),
+    "ISC": (("ISC License",), "isc"),
+    "CC0-1.0": (("Creative Commons CC0 1.0 Universal", "CC0 1.0 Universal license"), "cc0"),
+    "CC-BY-4.0": (("Creative Commons Attribution 4.0 International License", "CC BY 4.0"), "by|attribution 4"),
+    "CC-BY-SA-4.0": (("Creative Commons Attribution-ShareAlike 4.0 International License", "CC BY-SA 4.0"), "sa|sharealike 4"),
+    "CC-BY-NC-4.0": (("Creative Commons Attribution-NonCommercial 4.0 International License", "CC BY-NC 4.0"), "nc|noncommercial 4"),
+    "CC-BY-ND-4.0": (("Creative Commons Attribution-NoDerivatives 4.0 International License", "CC BY-ND 4.0"), "nd|noderivatives 4"),
 }
-
-_TERM = re.compile(rb"[0-9a-z\x80-\xff]+(?:\.[0-9]+)*")
+#: Sentences that name a licence.
+SENTENCES = ("Licensed under the {}.", "Licensed under {}.", "Released under the {}.", "Distributed under the {}.", "This work is licensed under the {}.", "This work is licensed under a {}.", "This project is licensed under the terms of the {}.")
+#: Grants and notices of the licences themselves, with the terms
+#: that they must hold.
+GRANTS = (
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction", ""),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions", ""),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache 2"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "3"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.", "2"),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version.", "lesser 3"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.", "mozilla"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", ""),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", ""),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered"),
+    ("LicenseRef-AllRightsReserved", "All rights reserved.", "rights reserved"),
+)
+
+
+@dataclass(frozen=True)
+class Template:
+    licence: str
+    text: str
+    #: Terms that a match must hold; of a|b either one.
+    required: str = ""
+
+
+def templates_of(names: dict[str, tuple[tuple[str, ...], str]] = NAMES, grants: tuple[tuple[str, str, str], ...] = GRANTS) -> tuple[Template, ...]:
+    """A tag and the sentences for each name of each licence, then the grants."""
+    out = []
+    for licence, (spoken, required) in names.items():
+        own = " ".join(w.decode() for w in words_of(licence.encode()))
+        out.append(Template(licence, f"SPDX-License-Identifier: {licence}", f"spdx {own}"))
+        out += [Template(licence, sentence.format(name), required) for name in spoken for sentence in SENTENCES]
+    return tuple(out) + tuple(Template(*g) for g in grants)
+
+
+TEMPLATES = templates_of()
+UNITS = ("header", "file", "notice")
 _NAME = r"^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
-_OWN_SQL = "struct<licence:string,score:double,matched:long,words:long>"
-_OWN = pa.struct([("licence", pa.string()), ("score", pa.float64()), ("matched", pa.int64()), ("words", pa.int64())])
-
+_OWN_SQL = "struct<licence:string,score:double,unit:string,matched:long,words:long>"
+_OWN = pa.struct([("licence", pa.string()), ("score", pa.float64()), ("unit", pa.string()), ("matched", pa.int64()), ("words", pa.int64())])
 
-def terms(data: bytes) -> list[bytes]:
-    """Lower-case words; a version number is one term with its dots."""
-    return _TERM.findall(data.translate(LOWER))
 
-
-@dataclass
 class Scanner:
     """Templates as unit vectors over their terms."""
 
-    templates: dict[str, tuple[str, ...]]
-    n_files: int
-    frequency: dict[bytes, int]
-    min_score: float
-    names: list[str] = field(default_factory=list)
-
-    def __post_init__(self) -> None:
-        texts = [(name, terms(t.encode())) for name, ts in self.templates.items() for t in ts]
-        self.vocab = {w: i for i, w in enumerate(dict.fromkeys(w for _, t in texts for w in t))}
-        self.idf = np.array([self._idf(self.frequency.get(w, 0)) for w in self.vocab] or [0.0])
-        self.rare = self._idf(0)
-        self.names = [name for name, _ in texts]
+    def __init__(self, templates: tuple[Template, ...], n_files: int, frequency: dict[bytes, int], min_score: float):
+        self.min_score = min_score
+        self.licences = [t.licence for t in templates]
+        texts = [words_of(t.text.encode()) for t in templates]
+        self.sizes = [len(t) for t in texts]
+        self.vocab = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t), 1)}
+        rare = float(np.log(1.0 + n_files) + 1)
+        #: Of each term; at 0 that of a term that no template has.
+        self.idf = np.array([rare] + [float(np.log((1 + n_files) / (1 + frequency.get(w, 0))) + 1) for w in self.vocab])
         self.table = np.zeros((len(texts), len(self.idf)))
-        for k, (_, t) in enumerate(texts):
+        for k, t in enumerate(texts):
             for w in t:
                 self.table[k, self.vocab[w]] += 1
             self.table[k] *= self.idf
             self.table[k] /= np.linalg.norm(self.table[k])
+        self.required = [[[self.vocab.get(x.encode(), 0) for x in any_of.split("|")] for any_of in t.required.split()] for t in templates]
 
-    def _idf(self, df: int) -> float:
-        return float(np.log((1 + self.n_files) / (1 + df)) + 1)
-
-    def best(self, words: list[bytes]) -> tuple[float, int]:
-        """The highest cosine of a segment, and its template."""
-        if not words:
-            return 0.0, -1
+    def score(self, k: int, words: list[bytes]) -> float:
+        """The cosine of a unit and a template, 0 without a required term."""
         vector, square = np.zeros(len(self.idf)), 0.0
         for w, n in Counter(words).items():
-            i = self.vocab.get(w)
-            if i is None:
-                square += (n * self.rare) ** 2
-            else:
+            i = self.vocab.get(w, 0)
+            square += (n * self.idf[i]) ** 2
+            if i:
                 vector[i] = n * self.idf[i]
-                square += vector[i] ** 2
-        scores = np.round(self.table @ vector / np.sqrt(square), 9)
-        k = int(np.argmax(scores)) if len(scores) else -1
-        return (float(scores[k]) if k >= 0 else 0.0), k
-
-    def may_match(self, words: list[bytes]) -> bool:
-        """No segment whose template terms, all taken as the rarest one, are
-        too few for min_score can match: cosine <= |known part| / |whole|."""
-        known = sum(w in self.vocab for w in words)
-        if not known:
-            return False
-        # |known|^2 <= known^2 rare^2, and |unknown|^2 >= unknown * rare^2
-        unknown = len(words) - known
-        return known * known >= self.min_score**2 * (known * known + unknown)
-
-    def scan(self, data: bytes) -> tuple[str | None, float, int, int]:
-        """Licence, score and words of the best segment, words of the file."""
-        best: tuple[float, int, int] = (0.0, -1, 0)
-        total, block = 0, []
-        lines: list[list[bytes]] = []
-
-        def consider(words: list[bytes]) -> None:
-            nonlocal best
-            if words and self.may_match(words):
-                score, k = self.best(words)
-                if k >= 0 and (score, -k, len(words)) > (best[0], -best[1], best[2]) and score >= self.min_score:
-                    best = (score, k, len(words))
-
-        n_blocks = 0
-        for line in data.split(b"\n"):
-            words = terms(line) if line else []
-            if words:
-                total += len(words)
-                block.append(words)
-            elif block:
-                lines.append([w for x in block for w in x])
-                if len(block) > 1:
-                    consider(lines[-1])
-                n_blocks += 1
-                block = []
-                continue
-            consider(words)
-        if block:
-            lines.append([w for x in block for w in x])
-            if len(block) > 1:
-                consider(lines[-1])
-            n_blocks += 1
-        if n_blocks > 1:
-            consider([w for x in lines for w in x])
-        return (self.names[best[1]] if best[1] >= 0 else None), best[0], best[2], total
+        if not square or any(not any(i and vector[i] for i in any_of) for any_of in self.required[k]):
+            return 0.0
+        return round(float(self.table[k] @ vector / np.sqrt(square)), 9)
+
+    def scan(self, data: bytes, named: bool) -> tuple[str | None, float, str | None, int, int]:
+        """Licence, score, unit and terms of the best unit, terms of the file."""
+        words = words_of(data)
+        n, least = len(words), self.min_score - 1e-6
+        ids = np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, n)
+        held = np.bincount(ids, minlength=len(self.idf)) > 0
+        held[0] = False
+        may = np.flatnonzero((self.table * self.table) @ held >= least * least)
+        best: tuple[float, int, int, int, int] | None = None  # score, -template, -unit, -place, terms
+        if n and len(may):
+            header = words_of(header_of(data))
+            square = np.concatenate(([0.0], np.cumsum(self.idf[ids] ** 2)))
+
+            def consider(k: int, unit: int, place: int, own: list[bytes]) -> None:
+                nonlocal best
+                score = self.score(k, own)
+                if score >= self.min_score and (best is None or (score, -k, -unit, -place) > best[:4]):
+                    best = (score, -k, -unit, -place, len(own))
+
+            for k in may.tolist():
+                if header:
+                    consider(k, 0, 0, header)
+                if named:
+                    consider(k, 1, 0, words)
+                size = min(self.sizes[k], n)
+                product = np.concatenate(([0.0], np.cumsum(self.table[k][ids] * self.idf[ids])))
+                bound = (product[size:] - product[:-size]) / np.sqrt(square[size:] - square[:-size])
+                for at in np.flatnonzero(bound >= least).tolist():
+                    consider(k, 2, at, words[at : at + size])
+        if best is None:
+            return None, 0.0, None, 0, n
+        return self.licences[-best[1]], best[0], UNITS[-best[2]], best[4], n
+
+
+def header_of(data: bytes) -> bytes:
+    """The lines before the first one without a term (blank lines at the very
+    top don't count)."""
+    lines = []
+    for line in data.split(b"\n"):
+        if words_of(line):
+            lines.append(line)
+        elif lines:
+            break
+    return b"\n".join(lines)
 
 
 def document_frequency(files: DataFrame, text_col: str, vocabulary: set[bytes]) -> tuple[int, dict[bytes, int]]:
@@ -172,7 +197,7 @@ def document_frequency(files: DataFrame, text_col: str, vocabulary: set[bytes])
         for batch in slices(batches):
             for data in batch.column(0).to_pylist():
                 n += 1
-                found.update(vocabulary.intersection(terms(data or b"")))
+                found.update(vocabulary.intersection(words_of(data)))
         yield pa.RecordBatch.from_pydict({"term": [b"", *found], "n": [n, *found.values()]}, schema=pa.schema([("term", pa.binary()), ("n", pa.int64())]))
 
     rows = files.select(utf8(text_col).alias("t")).mapInArrow(count, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
@@ -180,21 +205,27 @@ def document_frequency(files: DataFrame, text_col: str, vocabulary: set[bytes])
     return found.pop(b"", 0), found
 
 
-def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "text", templates: dict[str, tuple[str, ...]] | None = None, min_score: float = 0.8) -> DataFrame:
+_SCANNERS: dict[str, Scanner] = {}
+
+
+def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "text", templates: tuple[Template, ...] = TEMPLATES, min_score: float = 0.8) -> DataFrame:
     """Columns `row` (the input row without its text), `path`, `own` (licence,
-    score, matched, words), `licence` and `origin` (the path of the file or
-    of the directory that gives it, null without licence)."""
-    templates = TEMPLATES if templates is None else templates
-    vocabulary = {w for ts in templates.values() for t in ts for w in terms(t.encode())}
+    score, unit, matched, words), `licence` and `origin` (the path of the file
+    or of the directory that gives it, null without licence)."""
+    vocabulary = {w for t in templates for w in words_of(t.text.encode())}
     n_files, frequency = document_frequency(files, text_col, vocabulary)
+    key = uuid.uuid4().hex
 
-    def own(texts: pa.Array) -> pa.Array:
-        scanner = Scanner(templates, n_files, frequency, min_score)
-        found = [scanner.scan(x.as_py() or b"") for x in texts]
+    def own(texts: pa.Array, named: pa.Array) -> pa.Array:
+        if key not in _SCANNERS:  # one for the life of a worker
+            _SCANNERS.clear()
+            _SCANNERS[key] = Scanner(templates, n_files, frequency, min_score)
+        found = [_SCANNERS[key].scan(x.as_py() or b"", y.as_py()) for x, y in zip(texts, named)]
         return pa.StructArray.from_arrays([pa.array([x[k] for x in found], f.type) for k, f in enumerate(_OWN)], fields=list(_OWN))
 
     rows = packed(files).select("row", F.coalesce(F.col("row")[path_col].cast("string"), F.lit("")).alias("path"))
-    scanned = rows.select(F.col("row").dropFields(f"`{text_col}`").alias("row"), "path", F.regexp_replace("path", "/?[^/]*$", "").alias("dir"), F.arrow_udf(own, _OWN_SQL)(utf8(F.col("row")[text_col])).alias("own"))
+    bare = F.col("row").dropFields(f"`{text_col}`") if len(files.columns) > 1 else F.struct(F.lit(None).cast("string").alias("none"))
+    scanned = rows.select(bare.alias("row"), "path", F.regexp_replace("path", "/?[^/]*$", "").alias("dir"), F.arrow_udf(own, _OWN_SQL)(utf8(F.col("row")[text_col]), licence_named("path")).alias("own"))
     scanned = written(scanned, "licences")
     near = written(inherited(scanned), "inherited")  # a plain table, so that the join with one crowded directory can be split
     met = scanned.join(near, F.col("dir") == F.col("below"), "left")
@@ -202,11 +233,14 @@ def scan_licenses(files: DataFrame, path_col: str = "path", text_col: str = "tex
     return met.select("row", "path", "own", F.coalesce("own.licence", "near.licence").alias("licence"), F.when(has, F.col("path")).otherwise(F.col("near.ancestor")).alias("origin"))
 
 
+def licence_named(path: str) -> Column:
+    return F.lower(F.regexp_extract(path, "([^/]*)$", 1)).rlike(_NAME)
+
+
 def inherited(scanned: DataFrame) -> DataFrame:
     """(below, near struct(depth, ancestor, licence)) for the directories that a
     licence file of theirs or of an ancestor covers."""
-    named = F.lower(F.regexp_extract("path", "([^/]*)$", 1)).rlike(_NAME)
-    declares = scanned.where(F.col("own.licence").isNotNull() & (named | (2 * F.col("own.matched") >= F.col("own.words"))))
+    declares = scanned.where(F.col("own.licence").isNotNull() & (licence_named("path") | (2 * F.col("own.matched") >= F.col("own.words"))))
     of_dir = declares.groupBy("dir").agg(F.min(F.struct((-F.col("own.score")).alias("s"), "path", F.col("own.licence").alias("licence"))).alias("m"))
     of_dir = of_dir.select(F.col("dir").alias("ancestor"), "m.licence")
     parts = F.split("dir", "/")

@@ -17,12 +17,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files at /<source>/<lang>/<doc_id>."""
+    """Documents as the files of a tree: /<source>/<lang>/<id mod 8>/<id>, but
+    that every 50th is the source's licence file or that of a language."""
     from .license_scan import scan_licenses
 
-    path = F.concat(F.lit("/"), F.coalesce("source", F.lit("-")), F.lit("/"), F.coalesce("lang", F.lit("-")), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    key, of_lang = F.col("doc_id"), F.concat(F.lit("/"), F.coalesce("source", F.lit("-")), F.lit("/"), F.coalesce("lang", F.lit("-")))
+    own = F.concat(of_lang, F.lit("/"), F.coalesce((key % 8).cast("string"), F.lit("-")), F.lit("/"), F.coalesce(key.cast("string"), F.lit("-")))
+    path = F.when(key % 100 == 0, F.concat(F.lit("/"), F.coalesce("source", F.lit("-")), F.lit("/LICENSE"))).when(key % 100 == 50, F.concat(of_lang, F.lit("/COPYING"))).otherwise(own)
     found = scan_licenses(read(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
-    return found.select("row.doc_id", "path", F.col("own.licence").alias("own_licence"), F.round("own.score", 6).alias("score"), "licence", "origin")
+    return found.select("row.doc_id", "path", F.col("own.licence").alias("own_licence"), F.round("own.score", 6).alias("score"), F.col("own.unit").alias("unit"), "licence", "origin")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
