@@ -2,10 +2,14 @@
 
 Every rule is a pure predicate on one text, so the verdict (kept = no rule
 rejects) does not depend on the order; the order only decides how much work
-is spent. A bounded sample of rows gives each rule's cost and the joint
-pattern of rejections; rules then run by rejection per second, where the
-rejections of a later rule are counted on the rows that the earlier ones
-let through. The first rule that rejects ends the work on a text.
+is spent. A rule needs figures of the text (its words, its distinct lines, its
+repeated windows ...), which are computed when first asked for and then held.
+A bounded sample of rows gives the cost of each figure and of each rule's own
+test, and the joint pattern of rejections. Rules then run by rejection per
+second: of those left, next comes the one with most rejections, on the rows
+that the earlier ones let through, for the time of the figures that nobody
+has asked for yet. The first rule that rejects ends the work on a text. The
+base rules (too few words, too many repeated ones) are in the cascade.
 
 Words are runs of bytes outside space and TAB..CR; lines are split at LF.
 
@@ -18,8 +22,9 @@ from __future__ import annotations
 
 import time
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -70,70 +75,94 @@ def count_repeat_words(words: list[bytes], window: int = WINDOW) -> int:
 
 
 class Text:
-    """One text with the base figures that the contract asks for."""
-
-    __slots__ = ("data", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "_bytes")
+    """One text; each figure is computed when first asked for."""
 
     def __init__(self, data: bytes):
         self.data = data
-        words = data.split()
-        self.n_words = len(words)
-        self._bytes = sum(map(len, words))
-        self.word_chars = self._bytes - (len(data) - len(data.translate(None, _CONTINUATION)))
-        self.n_symbols = len(data.translate(None, _NOT_SYMBOL))
-        seen: set[bytes] = set()
-        self.n_dup_lines = self.n_lines = 0
-        for line in data.split(b"\n"):
-            if line and not line.isspace():
-                self.n_lines += 1
-                if line in seen:
-                    self.n_dup_lines += 1
-                seen.add(line)
-        self.n_repeat_words = count_repeat_words(words)
 
+    @cached_property
+    def words(self) -> list[bytes]:
+        return self.data.split()
 
-@dataclass(frozen=True)
-class Rule:
-    name: str
-    rejects: Callable[[Text], bool]
+    @property
+    def n_words(self) -> int:
+        return len(self.words)
 
+    @cached_property
+    def word_chars(self) -> int:
+        """Code points in words: bytes that don't continue one, less blanks."""
+        return sum(map(len, self.words)) - len(self.data) + len(self.data.translate(None, _CONTINUATION))
 
-def _symbols(t: Text) -> bool:
-    return 10 * t.n_symbols > t.n_words
+    @cached_property
+    def n_symbols(self) -> int:
+        return len(self.data.translate(None, _NOT_SYMBOL))
 
+    @cached_property
+    def lines(self) -> tuple[int, int]:
+        """Lines with a word, and those of them equal to an earlier line."""
+        worded = [x for x in self.data.split(b"\n") if x and not x.isspace()]
+        return len(worded), len(worded) - len(set(worded))
 
-def _word_length(t: Text) -> bool:
-    return t.word_chars < 2 * t.n_words or t.word_chars > 15 * t.n_words
+    @property
+    def n_lines(self) -> int:
+        return self.lines[0]
 
+    @property
+    def n_dup_lines(self) -> int:
+        return self.lines[1]
 
-def _dup_lines(t: Text) -> bool:
-    return 10 * t.n_dup_lines > 3 * t.n_lines
+    @cached_property
+    def n_repeat_words(self) -> int:
+        return count_repeat_words(self.words)
 
+    @cached_property
+    def n_bangs(self) -> int:
+        return len(self.data.translate(None, _NOT_BANG))
 
-def _bangs(t: Text) -> bool:
-    return 10 * len(t.data.translate(None, _NOT_BANG)) > 3 * t.n_words
+    @cached_property
+    def n_capitals(self) -> int:
+        return len(self.data.translate(None, _NOT_UPPER))
 
+    @cached_property
+    def n_digits(self) -> int:
+        return len(self.data.translate(None, _NOT_DIGIT))
 
-def _capitals(t: Text) -> bool:
-    return 10 * len(t.data.translate(None, _NOT_UPPER)) > 6 * t.word_chars
+    @cached_property
+    def n_commonest(self) -> int:
+        return max(Counter(self.words).values(), default=0)
 
 
-def _digits(t: Text) -> bool:
-    return 10 * len(t.data.translate(None, _NOT_DIGIT)) > 5 * t.word_chars
+#: The figures, each after those that it is made from.
+FIGURES = ("words", "word_chars", "n_symbols", "lines", "n_repeat_words", "n_bangs", "n_capitals", "n_digits", "n_commonest")
+#: Those that the operator returns, which are so paid for anyway.
+RETURNED = FIGURES[:5]
 
 
-def _one_word(t: Text) -> bool:
-    return 10 * Counter(t.data.split()).most_common(1)[0][1] > 5 * t.n_words
+@dataclass(frozen=True)
+class Rule:
+    name: str
+    #: The figures that the test asks for, and those that these are made from.
+    needs: tuple[str, ...]
+    rejects: Callable[[Text], bool]
 
 
+BASE = (
+    Rule("few_words", ("words",), lambda t: t.n_words < 10),
+    Rule("repeats", ("words", "n_repeat_words"), lambda t: 100 * t.n_repeat_words > 20 * t.n_words),
+)
 RULES = (
-    Rule("symbols", _symbols), Rule("word_length", _word_length), Rule("dup_lines", _dup_lines), Rule("bangs", _bangs),
-    Rule("capitals", _capitals), Rule("digits", _digits), Rule("one_word", _one_word),
-)
+    Rule("symbols", ("words", "n_symbols"), lambda t: 10 * t.n_symbols > t.n_words),
+    Rule("word_length", ("words", "word_chars"), lambda t: t.word_chars < 2 * t.n_words or t.word_chars > 15 * t.n_words),
+    Rule("dup_lines", ("lines",), lambda t: 10 * t.n_dup_lines > 3 * t.n_lines),
+    Rule("bangs", ("words", "n_bangs"), lambda t: 10 * t.n_bangs > 3 * t.n_words),
+    Rule("capitals", ("words", "word_chars", "n_capitals"), lambda t: 10 * t.n_capitals > 6 * t.word_chars),
+    Rule("digits", ("words", "word_chars", "n_digits"), lambda t: 10 * t.n_digits > 5 * t.word_chars),
+    Rule("one_word", ("words", "n_commonest"), lambda t: 10 * t.n_commonest > 5 * t.n_words),
+)
 
 
 def base_failed(t: Text) -> bool:
-    return t.n_words < 10 or 100 * t.n_repeat_words > 20 * t.n_words
+    return any(rule.rejects(t) for rule in BASE)
 
 
 def verdict(t: Text, rules: tuple[Rule, ...]) -> bool:
@@ -141,29 +170,35 @@ def verdict(t: Text, rules: tuple[Rule, ...]) -> bool:
     return not any(rule.rejects(t) for rule in rules)
 
 
-def order_rules(seconds: list[float], patterns: dict[int, int]) -> list[int]:
+def order_rules(seconds: list[float], patterns: dict[int, int], needs: list[tuple[str, ...]] | None = None, figures: dict[str, float] | None = None, paid: Collection[str] = ()) -> list[int]:
     """Greedy order by rejections per second on the rows still left.
 
-    patterns: how many sampled rows each set of rejecting rules (as bits) has.
+    seconds: of each rule's own test; patterns: how many sampled rows each set
+    of rejecting rules (as bits) has; needs: each rule's figures; figures: the
+    seconds of each figure; paid: figures that are computed anyway.
     """
-    left, order, rest = dict(patterns), [], list(range(len(seconds)))
-    while rest:
-        def gain(k: int) -> tuple[float, int]:
-            return sum(n for bits, n in left.items() if bits >> k & 1) / max(seconds[k], 1e-9), -k
+    left, order, rest, have = dict(patterns), [], list(range(len(seconds))), set(paid)
+    needs, figures = needs or [()] * len(seconds), figures or {}
 
+    def gain(k: int) -> tuple[float, float, int]:
+        cost = seconds[k] + sum(figures[f] for f in needs[k] if f not in have)
+        return sum(n for bits, n in left.items() if bits >> k & 1) / max(cost, 1e-9), -cost, -k
+
+    while rest:
         best = max(rest, key=gain)
         order.append(best)
         rest.remove(best)
+        have.update(needs[best])
         left = {bits: n for bits, n in left.items() if not bits >> best & 1}
     return order
 
 
-def plan_cascade(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000) -> tuple[Rule, ...]:
+def plan_cascade(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = BASE + RULES, sample_rows: int = 1000, paid: Collection[str] = ()) -> tuple[Rule, ...]:
     """The rules in the order in which they are to run.
 
     sample_rows bounds the sample, drawn by a hash of the text, on which cost
     and selectivity are measured. Executors measure; the driver gets one row
-    per rule and per pattern.
+    per rule, figure and pattern.
     """
     n = docs.count()
     lot = F.pmod(text_hash(text_col), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -171,44 +206,46 @@ def plan_cascade(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...
     sample = sample.select(utf8(text_col).alias("t")).limit(sample_rows)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spent, patterns = [0.0] * len(rules), Counter()
+        spent, patterns = [0.0] * (len(FIGURES) + len(rules)), Counter()
+
+        def timed(k: int, f: Callable[[], object]) -> object:
+            began = time.perf_counter()
+            found = f()
+            spent[k] += time.perf_counter() - began
+            return found
+
         for batch in batches:
             for data in batch.column(0).to_pylist():
                 t = Text(data)
-                if base_failed(t):
-                    continue
-                bits = 0
-                for k, rule in enumerate(rules):
-                    began = time.perf_counter()
-                    bits |= rule.rejects(t) << k
-                    spent[k] += time.perf_counter() - began
-                patterns[bits] += 1
+                for k, figure in enumerate(FIGURES):
+                    timed(k, lambda: getattr(t, figure))
+                patterns[sum(bool(timed(len(FIGURES) + k, lambda: rule.rejects(t))) << k for k, rule in enumerate(rules))] += 1
         yield pa.RecordBatch.from_pydict(
-            {"kind": [0] * len(rules) + [1] * len(patterns), "key": [*range(len(rules)), *patterns], "value": spent + [float(x) for x in patterns.values()]},
+            {"kind": [0] * len(spent) + [1] * len(patterns), "key": [*range(len(spent)), *patterns], "value": spent + [float(x) for x in patterns.values()]},
             schema=pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("value", pa.float64())]),
         )
 
     found = sample.mapInArrow(measure, "kind int, key long, value double").groupBy("kind", "key").agg(F.sum("value").alias("value")).collect()
-    seconds = [0.0] * len(rules)
+    spent = [0.0] * (len(FIGURES) + len(rules))
     patterns: dict[int, int] = {}
     for r in found:
         if r.kind == 0:
-            seconds[r.key] = r.value
+            spent[r.key] = r.value
         else:
             patterns[r.key] = int(r.value)
-    return tuple(rules[k] for k in order_rules(seconds, patterns))
+    order = order_rules(spent[len(FIGURES) :], patterns, [rule.needs for rule in rules], dict(zip(FIGURES, spent)), paid)
+    return tuple(rules[k] for k in order)
 
 
 def with_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000) -> DataFrame:
     """Columns `row` (the input row) and `q` (the figures and the verdict)."""
-    ordered = plan_cascade(docs, text_col, rules, sample_rows)
+    ordered = plan_cascade(docs, text_col, BASE + rules, sample_rows, RETURNED)
 
     def judge(texts: pa.Array) -> pa.Array:
         rows = []
         for data in texts:
             t = Text(data.as_py() or b"")
-            failed = base_failed(t)
-            rows.append((t.n_words, t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, failed, not failed and verdict(t, ordered)))
+            rows.append((t.n_words, t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, base_failed(t), verdict(t, ordered)))
         return pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows) if rows else [()] * len(METRICS), METRICS)], fields=list(METRICS))
 
     judged = F.arrow_udf(judge, METRICS_SQL).asNondeterministic()
@@ -216,5 +253,11 @@ def with_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...
 
 
 def filter_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000) -> DataFrame:
-    """The rows of docs that no rule rejects, with the columns of docs."""
-    return unpacked(with_quality(docs, text_col, rules, sample_rows).where("q.kept"))
+    """The rows of docs that no rule rejects, with the columns of docs; no
+    figure is computed that the cascade doesn't ask for."""
+    ordered = plan_cascade(docs, text_col, BASE + rules, sample_rows)
+
+    def keep(texts: pa.Array) -> pa.Array:
+        return pa.array([verdict(Text(data.as_py() or b""), ordered) for data in texts], pa.bool_())
+
+    return unpacked(packed(docs).where(F.arrow_udf(keep, "boolean").asNondeterministic()(utf8(F.col("row")[text_col]))))
