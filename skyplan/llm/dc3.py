@@ -27,36 +27,52 @@ def _sort(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), np.int64)
-    t = np.concatenate((text, np.zeros(3, np.int64)))
-    ones = np.arange(1, n + (n % 3 == 1), 3)  # one more than there are, so that it ends each half of the names
-    twos = np.arange(2, n, 3)
-    sample = np.concatenate((ones, twos))
+    t = np.zeros(n + 4, np.int64)
+    t[:n] = text
+    m = n + (n % 3 == 1)  # one more than there are, so that it ends the first half of the names
+    n_ones, n_twos = len(range(1, m, 3)), len(range(2, n, 3))
     base = int(text.max()) + 1
-    triples = (t[sample] * base + t[sample + 1]) * base + t[sample + 2]
-    distinct, names = np.unique(triples, return_inverse=True)
-    if len(distinct) == len(sample):
-        order = np.argsort(names, kind="stable")
-    else:
-        order = _sort(names + 1)
+
+    def triples(first: int, number: int) -> np.ndarray:
+        a, b, c = (t[first + k :: 3][:number] for k in range(3))
+        return (a * base + b) * base + c
+
+    order = _named(np.concatenate((triples(1, n_ones), triples(2, n_twos))))
+    sampled = 3 * order + 1  # where the sampled suffixes start, in order
+    second = order >= n_ones
+    sampled[second] -= 3 * n_ones - 1
     rank = np.zeros(n + 4, np.int64)  # 0 behind the end
-    rank[sample[order]] = np.arange(1, len(sample) + 1)
-    sampled = sample[order]
-    sampled = sampled[sampled < n]
-
-    zeros = np.arange(0, n, 3)
-    wide = len(sample) + 1
-    key = t[zeros] * wide + rank[zeros + 1]
-    by_key = np.argsort(key, kind="stable")
-    zeros, key = zeros[by_key], key[by_key]
-
-    is_one = sampled % 3 == 1
-    s1, s2 = sampled[is_one], sampled[~is_one]
-    before = np.arange(len(zeros))
-    before += np.searchsorted(t[s1] * wide + rank[s1 + 1], key, "left")
-    before += np.searchsorted((t[s2] * base + t[s2 + 1]) * wide + rank[s2 + 2], (t[zeros] * base + t[zeros + 1]) * wide + rank[zeros + 2], "left")
+    rank[sampled] = np.arange(1, len(order) + 1)
+    if m > n:
+        keep = sampled < n
+        sampled, second = sampled[keep], second[keep]
+
+    wide = len(order) + 1
+    n_zeros = len(range(0, n, 3))
+    key = t[0::3][:n_zeros] * wide + rank[1::3][:n_zeros]  # all different
+    by_key = np.argsort(key)
+    key, zeros = key[by_key], 3 * by_key
+
+    s1, s2 = sampled[~second], sampled[second]
+    before = np.arange(n_zeros)
+    before += np.searchsorted(t.take(s1) * wide + rank.take(s1 + 1), key)
+    deep = (t[0::3][:n_zeros] * base + t[1::3][:n_zeros]) * wide + rank[2::3][:n_zeros]
+    before += np.searchsorted((t.take(s2) * base + t.take(s2 + 1)) * wide + rank.take(s2 + 2), deep.take(by_key))
     out = np.empty(n, np.int64)
     free = np.ones(n, bool)
     free[before] = False
     out[before] = zeros
     out[free] = sampled
     return out
+
+
+def _named(triples: np.ndarray) -> np.ndarray:
+    """The order of the sampled suffixes, by the names of their triples."""
+    order = np.argsort(triples)
+    sorted_ = triples.take(order)
+    new = sorted_[1:] != sorted_[:-1]
+    if new.all():
+        return order
+    names = np.empty(len(triples), np.int64)
+    names[order] = np.concatenate(([1], np.cumsum(new) + 1))
+    return _sort(names)

@@ -183,15 +183,15 @@ def slow_cuts(texts, length=100):
     return out
 
 
-@pytest.mark.parametrize("block", [1 << 20, 300])
-def test_substring_dedup(spark, docs, texts, block):
+@pytest.mark.parametrize(("block", "bits"), [(800_000, 1 << 29), (20_000, 1 << 29), (6000, 0)])
+def test_substring_dedup(spark, docs, texts, block, bits):
     from skyplan.llm.substring_dedup import with_cuts
 
     more = dict(texts)
     some = max(texts.values(), key=len)
     more |= {10_000: "ab" * 400, 10_001: "x" + "ab" * 200, 10_002: some[500:900] + " new words " + some[300:700], 10_003: "é" * 300, 10_004: some[:99], 10_005: some[:100]}
     df = spark.createDataFrame(list(more.items()), "doc_id long, text string")
-    got = with_cuts(df, block=block).select("row.doc_id", "cut.*").collect()
+    got = with_cuts(df, block=block, max_bloom_bits=bits).select("row.doc_id", "cut.*").collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == slow_cuts(more)
 
 
