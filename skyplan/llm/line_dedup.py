@@ -10,8 +10,13 @@ within `band` of the threshold get an exact distinct count, so the result is
 that of exact counts unless a sketch errs by more than the band (over six
 standard errors at the default of 2^10 registers).
 
-Lines are named by two 64-bit hashes. Only (hashes, site, id, position) are
-shuffled for the counts; texts move once, to meet their removed positions.
+Lines are named by two 64-bit hashes. Texts are split once: the hashes, site,
+id and position of every line are written. A line that occurs too seldom to
+be on so many sites can't be boilerplate; a plain count, which needs no sketch,
+leaves the rows of the others, and sketches, exact counts and removals read
+these alone. Tables of line hashes that meet them are sent to every task if
+few, else joined by hash, where a common line, with many rows on one side and
+one on the other, can be split. Texts move once, to meet removed positions.
 
 Defined results: a null site is one site of its own; null text stays null
 and has no lines; rows that repeat id and text get equal results; an empty
@@ -25,21 +30,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, text_hash, unpacked
+from .common import packed, release, sent_if_small, text_hash, unpacked, written
 
 #: log2 of the registers of a sketch; its standard error is about 1.04 / 32.
 LG_K = 10
 #: min_sites, unless given: half of the distinct sites, within these bounds.
 LEAST_SITES, MOST_SITES = 2, 10
+#: What a line with a word has.
+_WORDED = "[^\\x20\\x09-\\x0D]"
 
 
 def lines_of(docs: DataFrame, id_col: str, site_col: str, text_col: str) -> DataFrame:
     """(id, th, site, pos, h1, h2) of every line that has a word."""
     base = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), F.xxhash64(F.col(site_col).isNull(), F.col(site_col)).alias("site"), F.split(text_col, "\\n").alias("lines"))
-    each = base.select("id", "th", "site", F.posexplode("lines").alias("pos", "line")).where(F.col("line").rlike("[^\\x20\\x09-\\x0D]"))
+    each = base.select("id", "th", "site", F.posexplode("lines").alias("pos", "line")).where(F.col("line").rlike(_WORDED))
     return each.select("id", "th", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
+def common_lines(lines: DataFrame, least: float) -> DataFrame:
+    """Rows of the lines that occur `least` times or more; written."""
+    often = written(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("h1", "h2"), "often")
+    return written(lines.join(sent_if_small(often), ["h1", "h2"], "left_semi"), "common")
+
+
 def boilerplate(lines: DataFrame, min_sites: int, band: float) -> DataFrame:
     """(h1, h2, first) of lines on min_sites distinct sites or more."""
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "pos", "th")
@@ -65,21 +78,22 @@ def _keep(texts: pa.Array, gone: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-
 def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25) -> DataFrame:
     """Columns `row`, `n_lines`, `n_removed` and `clean` (the text left)."""
     if min_sites is None:
         sites = docs.select(F.xxhash64(F.col(site_col).isNull(), F.col(site_col)).alias("site")).distinct().count()
         min_sites = max(LEAST_SITES, min(MOST_SITES, (sites + 1) // 2))
-    lines = lines_of(docs, id_col, site_col, text_col)
-    found = boilerplate(lines, min_sites, band)
+    lines = written(lines_of(docs, id_col, site_col, text_col), "lines")
+    common = common_lines(lines, min_sites * (1 - band))
+    release(lines)
+    found = sent_if_small(written(boilerplate(common, min_sites, band), "boilerplate"))
     same = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.th") == F.col("th")) & (F.col("first.pos") == F.col("pos"))
-    gone = lines.join(found, ["h1", "h2"]).where(~same).select("id", "th", "pos").distinct().groupBy("id", "th").agg(F.collect_list("pos").alias("gone"))
+    gone = common.join(found, ["h1", "h2"]).where(~same).groupBy("id", "th").agg(F.collect_set("pos").alias("gone"))
     rows = packed(docs).withColumns({"key": F.col("row")[id_col], "key_hash": text_hash(F.col("row")[text_col])})
     text: Column = F.col("row")[text_col]
     met = rows.join(gone, F.col("key").eqNullSafe(F.col("id")) & (F.col("key_hash") == F.col("th")), "left")
     cleaned = F.when(F.col("gone").isNull(), text).otherwise(F.arrow_udf(_keep, "string")(text, "gone"))
-    n_lines = F.size(F.filter(F.split(text, "\\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
+    n_lines = F.regexp_count(text, F.lit(_WORDED + "[^\\n]*"))  # from a line's first word to its end
     return met.select("row", F.when(text.isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), cleaned.alias("clean"))
 
 
