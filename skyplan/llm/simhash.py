@@ -209,9 +209,10 @@ def _ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_links(nodes: DataFrame, max_run: int = 1024) -> DataFrame:
     """nodes (fp) distinct -> links (u, v) whose components are those of all
     pairs of at most 4 differing bits."""
-    # a fingerprint becomes some 190 keys: spread by number of tasks, not by size
+    # a fingerprint becomes some 190 keys: spread by number of tasks, not by size, and
+    # by an expression, as an exchange by fp is dropped where the rows are so dealt already
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = nodes.select("fp").repartition(tasks, "fp").mapInArrow(_emit_keys, "k long, fp long")
+    keys = nodes.select("fp").repartition(tasks, F.xxhash64("fp")).mapInArrow(_emit_keys, "k long, fp long")
     runs = keys.repartition(F.shiftright("k", 1)).sortWithinPartitions("k")
     found = written(runs.mapInArrow(verify_runs(max_run), "u long, v long, over boolean"), "links")
     links = found.where("not over").select("u", "v").distinct()
@@ -224,14 +225,17 @@ def near_links(nodes: DataFrame, max_run: int = 1024) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, max_run: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (id, th, fp), and for each fp the least (id, th) of its component."""
+    """Rows (id, th, fp), and for each fp the least (id, th) of its component.
+    Both sides of the joins by root and by fp are written tables, so that a
+    large component or a common fingerprint can be split over tasks."""
     fps = written(docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("th"), F.arrow_udf(_fingerprints, "long")(utf8(text_col)).alias("fp")), "fps")
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "th")  # ids first, nulls last
-    nodes = fps.groupBy("fp").agg(F.min(first).alias("least"))
+    nodes = written(fps.groupBy("fp").agg(F.min(first).alias("least")), "nodes")
     roots = components(near_links(nodes, max_run))
-    with_root = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    of_root = with_root.groupBy("root").agg(F.min("least").alias("least"))
-    return fps, with_root.select("fp", "root").join(of_root, "root").select("fp", "root", "least")
+    with_root = written(nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+    of_root = written(with_root.groupBy("root").agg(F.min("least").alias("least")), "least")
+    named = with_root.select("fp", "root").join(of_root, "root").select("fp", "root", "least")
+    return fps, written(named, "named")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_run: int = 1024) -> DataFrame:
