@@ -9,11 +9,13 @@ records too small to train on gives a raw-content dictionary of their bytes.
 Of records with equal payloads of at least min_revisit bytes, that with the
 largest page id is the response and the others revisit it; shorter payloads
 are always responses. Payloads are matched by SHA-1 and length; only ids,
-digests and lengths are grouped.
+digests and lengths are grouped. The repeated digests are sent to every task
+if few, so that no payload is shuffled; else payloads of min_revisit bytes or
+more meet them in a join, which can split a common digest.
 
-Archives go to a folder that all executors share, under a name made of the
-partition's number, by a rename from a name of the attempt's own: a repeated
-task replaces its file by an equal one.
+Archives go to a folder that all executors share, under a name of the task
+attempt's own. The manifest names the archives of the attempts that counted;
+what a lost or repeated attempt left behind is not in it, and not read.
 
 Defined results: a null payload is empty; a null page id is written as an
 empty header and read back as null (it is the response of its group only if
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, slices, utf8, written
+from .common import new_path, sent_if_small, slices, utf8, written
 
 #: Fixed value: the skippable frame's magic number for dictionaries.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -57,11 +59,15 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     for responses."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(utf8(payload_col), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
-    long = rows.where(F.col("size") >= min_revisit).groupBy("sha1", "size").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
-    shared = long.where("n > 1 and last is not null").select(F.col("sha1").alias("s"), F.col("size").alias("z"), "last")
-    met = rows.join(shared, (rows.sha1 == shared.s) & (rows.size == shared.z), "left")
+    long = F.col("size") >= min_revisit
+    groups = rows.where(long).groupBy("sha1", "size").agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
+    shared = groups.where("n > 1 and last is not null").select(F.col("sha1").alias("s"), F.col("size").alias("z"), "last")
+    shared = sent_if_small(written(shared, "shared"))
+    # short payloads, many of them equal, are spread by a key that meets none
+    rows = rows.withColumn("key", F.when(long, F.col("sha1")).otherwise(F.xxhash64("page_id", "url").cast("string")))
+    met = rows.join(shared, (F.col("key") == F.col("s")) & (F.col("size") == F.col("z")), "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))
-    return met.select("page_id", "url", "payload", "sha1", refers.alias("refers_to"))
+    return met.select("page_id", "url", "payload", "sha1", refers.cast("long").alias("refers_to"))
 
 
 def _record_id(page_id: int | None) -> str:
@@ -165,12 +171,11 @@ def write_archives(records: DataFrame, folder: str, dict_bytes: int = 32 << 10,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        task = TaskContext.get()
+        attempt = f"{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"  # no other attempt has this name
         out, names = None, []
 
         def finish() -> tuple[str, int, int]:
             out.close()
-            fs.move(names[-1] + f".{task.taskAttemptId()}", names[-1])
             return names[-1], out.n_records, out.n_bytes
 
         done = []
@@ -180,8 +185,8 @@ def write_archives(records: DataFrame, folder: str, dict_bytes: int = 32 << 10,
                     done.append(finish())
                     out = None
                 if out is None:
-                    names.append(f"{root}/part-{task.partitionId():05d}-{len(names):04d}.warc.zst")
-                    out = ArchiveWriter(fs.open_output_stream(names[-1] + f".{task.taskAttemptId()}", compression=None), dict_bytes, train_bytes, level)
+                    names.append(f"{root}/part-{attempt}-{len(names):04d}.warc.zst")
+                    out = ArchiveWriter(fs.open_output_stream(names[-1], compression=None), dict_bytes, train_bytes, level)
                 out.add(make_record(page_id, url, payload, sha1, refers_to, date))
         if out is not None:
             done.append(finish())
