@@ -29,7 +29,10 @@ these are dealt to blocks so that equal strings meet:
    equal do meet. A class of which too much is left to carry on (many
    different strings around one common name) is cut into parts of PART starts
    by the distance to the name's place, named by the bytes that all their
-   strings share, and at last by all of its bytes.
+   strings share, and at last by all of its bytes. A class of more than half
+   a block is first dealt to several tasks, so that no task takes all rows of
+   a common name, and what is left of it goes on like this: it shrinks in
+   every round, until one task settles it.
 
 Order is by id, nulls last, then text hash, then start; rows that repeat id
 and text are one document in this order and get equal results. Null or empty
@@ -50,7 +53,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import expand, packed, release, slices, splitmix, text_hash, utf8, written
+from .common import expand, packed, release, sent_if_small, slices, splitmix, text_hash, utf8, written
 from .dc3 import suffix_array
 
 LENGTH, GRAM = 100, 32
@@ -194,8 +197,9 @@ def _stretches(name: np.ndarray, index: np.ndarray, start: np.ndarray, size: np.
     return first, np.add.reduceat(size, first), again
 
 
-def _rows(keys: list[pa.Array], name: np.ndarray, lo: np.ndarray, size: np.ndarray, again: np.ndarray, ctx: list[bytes | None], over: bool = False) -> pa.RecordBatch:
-    arrays = [*keys, pa.array(name.view(np.int64)), pa.array(lo.astype(np.int64)), pa.array(size.astype(np.int32)), pa.array(again), pa.array(ctx, pa.binary()), pa.array(np.full(len(lo), over))]
+def _rows(keys: list[pa.Array], name: np.ndarray, lo: np.ndarray, size: np.ndarray, again: np.ndarray, ctx: list[bytes | None], over: np.ndarray | None = None) -> pa.RecordBatch:
+    over = np.zeros(len(lo), bool) if over is None else over
+    arrays = [*keys, pa.array(name.view(np.int64)), pa.array(lo.astype(np.int64)), pa.array(size.astype(np.int32)), pa.array(again), pa.array(ctx, pa.binary()), pa.array(over)]
     return pa.RecordBatch.from_arrays(arrays, names=_ROW)
 
 
@@ -259,7 +263,8 @@ def settle(rows: pa.RecordBatch, length: int) -> tuple[pa.RecordBatch, pa.Record
         first = begin[r] + s
         ctx = [raw[a:b] for a, b in zip(first.tolist(), (first + n + length - 1).tolist())] if with_bytes else [None] * len(r)
         take = pa.array(r)
-        return _rows([rows.column(c).take(take) for c in _ROW[:3]], name[r], lo[r] + s, n, rows.column("again").to_numpy(zero_copy_only=False)[r], ctx)
+        again, over = (rows.column(c).to_numpy(zero_copy_only=False)[r] for c in ("again", "over"))
+        return _rows([rows.column(c).take(take) for c in _ROW[:3]], name[r], lo[r] + s, n, again, ctx, over)
 
     return part(gone, False), _joined_rows([alone, part(single & ~gone, True)])
 
@@ -288,10 +293,10 @@ def _portions(rows: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         start = end
 
 
-def resolve(batches: Iterator[pa.RecordBatch], length: int, block: int = BLOCK, last: bool = False) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch, bool]]:
+def resolve(batches: Iterator[pa.RecordBatch], length: int, block: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch, bool]]:
     """Over rows sorted by name: (cuts, rows left, whether of a class of which
     too much is left). Holds about a block, and of a larger class what is left
-    of it, half a block at most (but if `last`)."""
+    of it, half a block at most."""
     held: list[pa.RecordBatch] = []
     used, crowded = 0, None
     for batch in batches:
@@ -318,7 +323,7 @@ def resolve(batches: Iterator[pa.RecordBatch], length: int, block: int = BLOCK,
             if used >= block:
                 cuts, rows = settle(rows, length)
                 used = _bytes_of(rows)
-                if used > block // 2 and not last:
+                if used > block // 2:
                     crowded = name[-1]
                     yield cuts, rows, True
                     held, used = [], 0
@@ -494,14 +499,17 @@ def _settle_stretches(length: int, block: int):
     return run
 
 
-def _settle_runs(length: int, block: int, last: bool):
-    """Runs or parts sorted by name -> cuts, and the rows of crowded classes."""
+def _settle_runs(length: int, block: int):
+    """Runs or parts sorted by name -> cuts, and what is left of classes that
+    are not settled: dealt to several tasks, or too much for one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cuts, rows, over in resolve(batches, length, block, last):
+        for cuts, rows, crowded in resolve(batches, length, block):
             yield from _full(cuts)
-            if over:
-                yield rows.set_column(8, "over", pa.array(np.ones(rows.num_rows, bool)))
+            if crowded:
+                yield from _full(rows.set_column(8, "over", pa.array(np.ones(rows.num_rows, bool))))
+            else:
+                yield from _full(rows.filter(rows.column("over")))
 
     return run
 
@@ -572,22 +580,30 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         cuts.append(written(gone, "cuts"))
         return table
 
-    def met(table: DataFrame) -> DataFrame:
-        return table.repartition("name").sortWithinPartitions("name")
+    def sorted_by(rows: DataFrame, task: Callable, what: str) -> DataFrame:
+        """Rows sorted by class; a large class is dealt to several tasks, which
+        leave of each of its strings one at most, marked `over`."""
+        size = F.sum(F.octet_length("ctx"))
+        large = written(rows.groupBy("name").agg(size.alias("bytes")).where(F.col("bytes") > block // 2).select("name", F.ceil(F.col("bytes") / (block // 2)).alias("pieces")), "large")
+        if large.isEmpty():
+            dealt = rows.withColumn("over", F.lit(False)).repartition("name")
+        else:
+            met = rows.join(sent_if_small(large), "name", "left")
+            lot = F.pmod(F.xxhash64("id", "th", "lo"), F.coalesce("pieces", F.lit(1)))
+            dealt = met.withColumn("over", F.col("pieces").isNotNull()).repartition("name", lot).select(*_ROW)
+        return noted(dealt.sortWithinPartitions("name").mapInArrow(task, row_sql), what)
 
     rows = noted(texts.mapInArrow(_emit_stretches(marks, length, block), row_sql), "stretches")
-    runs = noted(met(rows.where("ctx is not null")).mapInArrow(_settle_stretches(length, block), row_sql), "runs")
+    runs = sorted_by(rows.where("ctx is not null"), _settle_stretches(length, block), "runs")
     release(rows)
-    left = noted(met(runs.where("ctx is not null")).mapInArrow(_settle_runs(length, block, False), row_sql), "left")
+    left = sorted_by(runs.where("ctx is not null"), _settle_runs(length, block), "left")
     release(runs)
-    for part in (PART, 1):
-        over = left.where("over and ctx is not null")
-        if over.isEmpty():
-            break
-        parts = noted(over.mapInArrow(_emit_parts(length, part, block), row_sql), "parts")
-        before, left = left, noted(met(parts.where("ctx is not null")).mapInArrow(_settle_runs(length, block, part == 1), row_sql), "left")
+    names = iter((PART, 1))
+    while not (over := left.where("ctx is not null")).isEmpty():
+        part = next(names, None)
+        rows = over if part is None else noted(over.mapInArrow(_emit_parts(length, part, block), row_sql), "parts").where("ctx is not null")
+        before, left = left, sorted_by(rows, _settle_runs(length, block), "left")
         release(before)
-        release(parts)
     release(left)
     return reduce(DataFrame.unionByName, cuts)
 
