@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import design_hex, filled
+from ..functions.scalar import design_hex
 
+#: The export's columns.
 PPC_COLUMNS = (
     "ppc_code", "ppc_ra", "ppc_dec", "ppc_pa", "ppc_equinox", "ppc_priority", "ppc_priority_usr", "ppc_exptime", "ppc_totaltime",
     "ppc_resolution", "ppc_fiber_usage_frac", "ppc_allocated_targets", "ppc_comment",
@@ -38,9 +39,10 @@ def export_pointings(ppc: DataFrame, classic: bool = False, single: float = 900.
     def given(c: str, default: Column) -> Column:
         return F.coalesce(F.col(c), default) if c in have else default
 
-    by_rank = F.row_number().over(Window.orderBy("ppc_code")).cast("double")
+    by_rank = F.lit(None).cast("double") if "ppc_priority" in have else F.row_number().over(Window.orderBy("ppc_code")).cast("double")
     usr = given("ppc_priority_usr", F.col("ppc_priority") if "ppc_priority" in have else by_rank)
-    values = {
+    absent = {} if "ppc_priority" in have else {"ppc_priority": by_rank}
+    values = absent | {
         "ppc_equinox": given("ppc_equinox", F.lit("J2000")), "ppc_priority_usr": usr, "ppc_exptime": given("ppc_exptime", F.lit(single if classic else 900.0)),
         "ppc_totaltime": given("ppc_totaltime", F.lit(single + 300 if classic else 1200.0)), "ppc_comment": given("ppc_comment", F.lit("")),
         "ppc_fiber_usage_frac": given("ppc_fiber_usage_frac", F.lit(None).cast("double")),
@@ -118,5 +120,25 @@ def later_wins(*tables: DataFrame, key: str) -> DataFrame:
     return out.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__s", "__n")
 
 
-def fiber_usage(ppc: DataFrame) -> DataFrame:
-    return ppc.withColumn("n_alloc", filled(F.size("ppc_allocated_targets").cast("double")))
+#: The summary's columns.
+SUMMARY_COLUMNS = ("ppc_code", "ppc_ra", "ppc_dec", "ppc_pa", "design_filename", "pfsDesignId", "ppc_exptime", "ppc_nframes", "ppc_obstime_utc", "ppc_obstime")
+
+
+def reconfigure_summary(ppc: DataFrame) -> DataFrame:
+    """Pointings with the file of their design."""
+    return ppc.withColumn("design_filename", F.concat(F.lit("pfsDesign-"), design_hex("pfsDesignId"), F.lit(".fits"))).select(*SUMMARY_COLUMNS)
+
+
+def with_rotator(report: DataFrame, design: DataFrame) -> DataFrame:
+    """The rotator's angles and elevations of each design's report, by its id."""
+    return report.join(design.select("design_id", "inr1", "inr2", "el1", "el2"), "design_id", "left")
+
+
+def with_fiber_place(fiber: DataFrame, places: DataFrame) -> DataFrame:
+    """The place of each fibre on the focal plane, null where none is known."""
+    return fiber.join(places.select("fiber_id", "x", "y"), "fiber_id", "left")
+
+
+def status_color(status: Column | str) -> Column:
+    s = F.col(status) if isinstance(status, str) else status
+    return F.when(s == "done", "green").when(s == "running", "orange").when(s == "pending", "gray")

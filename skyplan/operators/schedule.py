@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.geometry import altitude, rotator_angle
 from ..functions.scalar import SLOT_SECONDS, arms, col
-from .spatial import cut_lineage
 
 #: Degrees at which the rotator wraps.
 WRAP_EDGE = 170.0
@@ -118,19 +121,65 @@ def timeline(schedule: DataFrame) -> DataFrame:
 
 def greedy_schedule(candidates: DataFrame, slots_per_night: int) -> DataFrame:
     """candidates (night, ppc, score): slots go to the best pointings of each
-    night that no earlier night had. Rounds run over nights, each with a
-    distributed top-k, and cut the lineage, or a plan would hold all earlier
-    rounds; not equal to the planner with slew and delay costs."""
-    candidates = cut_lineage(candidates)  # each round reads them again
-    nights = [r[0] for r in candidates.select("night").distinct().orderBy("night").collect()]
-    out = None
-    for k, night in enumerate(nights, 1):
-        free = candidates.where(F.col("night") == F.lit(night))
-        if out is not None:
-            free = free.join(out.select("ppc"), "ppc", "left_anti").select(*candidates.columns)
-        best = free.orderBy(F.col("score").desc(), "ppc").limit(slots_per_night)
-        best = cut_lineage(best.withColumn("slot", F.row_number().over(Window.orderBy(F.col("score").desc(), "ppc"))))
-        out = best if out is None else out.unionByName(best)
-        if k % 8 == 0:
-            out = cut_lineage(out.coalesce(1))  # else every night stays a table of its own
-    return candidates.limit(0).withColumn("slot", F.lit(0)) if out is None else out
+    night that no earlier night had; not equal to the planner with slew and
+    delay costs. At most slots * (k - 1) pointings are taken before night k,
+    so its choice is among its slots * k best: these are ranked by the cluster,
+    and one pass over them, whose number doesn't grow with the pointings but
+    with the nights, accepts in order."""
+    nights = candidates.select("night").distinct().withColumn("__k", F.row_number().over(Window.orderBy("night")))  # a row per night
+    w = Window.partitionBy("night").orderBy(F.col("score").desc(), "ppc")
+    ranked = candidates.join(F.broadcast(nights), "night").withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= slots_per_night * F.col("__k"))
+
+    def accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        taken: set = set()
+        used: dict = {}
+        for rows in batches:
+            slots = []
+            for night, ppc in zip(rows["__k"], rows["ppc"]):
+                free = used.get(night, 0) < slots_per_night and ppc not in taken
+                if free:
+                    taken.add(ppc)
+                    used[night] = used.get(night, 0) + 1
+                slots.append(used[night] if free else 0)
+            out = rows.assign(slot=slots)
+            yield out[out["slot"] > 0].drop(columns=["__k", "__n"])
+
+    schema = StructType([*candidates.schema.fields, StructField("slot", IntegerType())])
+    ordered = ranked.select(*candidates.columns, "__k", "__n").coalesce(1).sortWithinPartitions("__k", "__n")
+    return ordered.mapInPandas(accept, schema)
+
+
+def observation_rows(slots: DataFrame) -> DataFrame:
+    """slots (start_time, ob_code, derived) -> (datetime, ob_code) of those
+    that hold an observation of their own."""
+    return slots.where("ob_code is not null and not derived").select(F.col("start_time").alias("datetime"), "ob_code")
+
+
+def upcoming(dates: DataFrame, today: str, column: str = "obs_date") -> DataFrame:
+    """Dates of which noon in Hawaii isn't past on the given day's noon."""
+    return dates.where(F.col(column) >= F.lit(today).cast("date"))
+
+
+def schedule_datetimes(entries: DataFrame, year: int) -> DataFrame:
+    """entries (date `M/D`, start, stop `H:MM`) of a semester's year -> with
+    both as times; null where a part isn't a number."""
+    parts = F.split("date", "/")
+
+    def at(c: str) -> Column:
+        clock = F.split(c, ":")
+        numbers = [F.get(parts, F.lit(0)), F.get(parts, F.lit(1)), F.get(clock, F.lit(0)), F.get(clock, F.lit(1))]
+        return F.try_make_timestamp(F.lit(year), *[x.try_cast("int") for x in numbers], F.lit(0))
+
+    return entries.withColumns({"start_at": at("start"), "stop_at": at("stop")})
+
+
+#: Dates and hours (HST) to try if no date is scheduled.
+SEASON_DATES = ("2026-01-15", "2026-03-15", "2026-05-15", "2026-07-15", "2026-09-15", "2026-11-15")
+SEASON_HOURS = (21, 0, 3)
+
+
+def candidate_times(spark: SparkSession, dates: Iterable[str] | None = None, hours: Iterable[int] = SEASON_HOURS) -> DataFrame:
+    """(date, hour, t): UTC of each hour of each local date."""
+    given = [(d,) for d in (SEASON_DATES if dates is None else dates)]
+    days = spark.createDataFrame(given, "date string").withColumn("hour", F.explode(F.array(*[F.lit(h) for h in hours])))
+    return days.withColumn("t", F.to_timestamp("date") + F.make_interval(hours=F.col("hour") + 10))

@@ -9,7 +9,8 @@ from ..functions.scalar import safe_divide
 
 FIBERS = 2394
 #: Factors of the score's terms, and the worth of priorities.
-FACTORS = {"fh": 5.0, "finish": 2.5, "cont": 0.1, "prio": 1.5, "fill": 0.5, "new": -0.1, "over": -0.05}
+FACTORS = {"fh": 5.0, "finish": 2.5, "cont": 0.1, "prio": 1.5, "fill": 0.5}
+PENALTIES = {"new": 0.1, "over": 0.05}
 PRIORITY_VALUES = {0: 100.0, 1: 5.0, 2: 1.0, 3: 1.0, 4: 0.5, 5: 0.5, 6: 0.4, 9: 0.1}
 #: Costs by priority in the queue (999: fillers), of partly
 #: observed and of calibration targets, and how many of these are asked for.
@@ -38,11 +39,6 @@ def class_costs(spark: SparkSession, classic: list[float] | None = None) -> Data
     return spark.createDataFrame(rows, "class string, n_required int, cost double, partial_cost double, calibration boolean")
 
 
-def credited(target: DataFrame) -> DataFrame:
-    """Fibre hours credited by proposal."""
-    return target.groupBy("proposal_id").agg((F.sum(F.least("exptime_done", "exptime")) / 3600).alias("fh_credited"))
-
-
 def progress(target: DataFrame) -> DataFrame:
     """Goal, hours and counts by proposal."""
     return target.groupBy("proposal_id").agg(
@@ -91,7 +87,7 @@ def pointing_scores(target: DataFrame, assigned: DataFrame, single: float = 900.
         "over": safe_divide(F.col("__more"), most),
     }
     rows = rows.withColumns(terms)
-    score = sum((F.lit(f) * F.col(t) for t, f in FACTORS.items()), F.lit(0.0))
+    score = sum((F.lit(f) * F.col(t) for t, f in FACTORS.items()), F.lit(0.0)) - sum((F.lit(f) * F.col(t) for t, f in PENALTIES.items()), F.lit(0.0))
     return rows.withColumn("score", score).drop("__prio", "__sum", "__top", "__worth", "__use", "__more")
 
 

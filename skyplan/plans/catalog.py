@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import designqueries, morequeries, planning, skyqueries, timequeries  # noqa: F401
+from . import designqueries, morequeries, planning, programqueries, skyqueries, timequeries  # noqa: F401

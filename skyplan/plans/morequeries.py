@@ -142,12 +142,12 @@ def rotator_night(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT vec_id, round(245 * cos(radians(-60.0 * (label % 6) - 9)), 6) AS x, round(245 * sin(radians(-60.0 * (label % 6) - 9)), 6) AS y,
-       round(sin(radians(vec_id)), 9) AS north_x, round(cos(radians(vec_id)), 9) AS north_y FROM embeddings
+       round(sin(radians(vec_id)), 9) + 0.0 AS north_x, round(cos(radians(vec_id)), 9) + 0.0 AS north_y FROM embeddings
 """)
 def camera_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = G.camera_label(F.col("label") % 6)
     nx, ny, _, _ = G.directions("vec_id")
-    return read(spark, sf_dir, "embeddings").select("vec_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"), F.round(nx, 9).alias("north_x"), F.round(ny, 9).alias("north_y"))
+    return read(spark, sf_dir, "embeddings").select("vec_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"), (F.round(nx, 9) + 0.0).alias("north_x"), (F.round(ny, 9) + 0.0).alias("north_y"))
 
 
 @query("""

@@ -59,7 +59,8 @@ def load(path: str, secondary: str | None = None, mode: str = "queue") -> dict[s
 
 def from_environment(config: Mapping[str, Any], section: str, key: str, variable: str, required: bool = False, default: Any = None) -> Any:
     """The environment's value, else the configuration's, else the default."""
-    value = os.environ.get(variable) or config.get(section, {}).get(key) or default
+    value = os.environ.get(variable) or config.get(section, {}).get(key)
+    value = default if value is None else value
     if required and value is None:
         raise KeyError(f"set {variable} or [{section}] {key}")
     return value

@@ -7,7 +7,11 @@ from pyspark.sql import DataFrame
 from .tables import desired_first
 from .text import escape
 
-ORDER = ["design_id", "ppc_code", "inr1", "inr2", "el1", "el2", "unfib_bright", "ag1", "ag2", "ag3", "ag4", "ag5", "ag6", "ag_sum"]
+#: The columns that come first, in order.
+ORDER = [
+    "design_id", "ppc_code", "inr1", "inr2", "el1", "el2", "unfib_bright", "ag1", "ag2", "ag3", "ag4", "ag5", "ag6", "ag_sum",
+    "sky_mean", "sky_std", "sky_min", "sky_max", "sky_sum", "std_mean", "std_std", "std_min", "std_max", "std_sum",
+]
 STYLE = "background-color: #f4a6a6"
 
 

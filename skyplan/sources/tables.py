@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +58,9 @@ def read_through(spark: SparkSession, path: str, make) -> DataFrame:
     """The table at path if it can be read, else what make() gives, written."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         make().write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
@@ -133,7 +134,3 @@ def write_lines(df: DataFrame, path: str, order: list[str]) -> None:
 
 def desired_first(columns: list[str], desired: list[str]) -> list[str]:
     return [c for c in desired if c in columns] + [c for c in columns if c not in desired]
-
-
-def unite(tables: Iterable[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

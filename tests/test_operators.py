@@ -279,3 +279,62 @@ def test_sources_rules(spark):
     assert rows(log, "ob_code", "exptime_done_real") == [("a", 1350.0)]
     names = spark.createDataFrame([("p", "A", "B", "C"), ("q", "A", None, "C")], "proposal_id string, pi_first_name string, pi_middle_name string, pi_last_name string")
     assert rows(tables.proposal_list(names)) == [("p", "ABC"), ("q", None)]
+
+
+def test_spill_of_targets(spark):
+    """Nobody prefers a pointing that would rather have them too; and as many
+    targets as fibres allow are placed at their nearest pointing with room."""
+    import random
+
+    random.seed(3)
+    target = [(f"t{i:03d}", 10 + random.random() * 2, random.random() * 2, float(random.randint(1, 9))) for i in range(120)]
+    ppc = [(k, 10.4 + 0.4 * (k % 4), 0.4 + 0.4 * (k // 4)) for k in range(12)]
+    df = spark.createDataFrame(target, "identify_code string, ra double, dec double, weight double")
+    pc = spark.createDataFrame(ppc, "pointing int, ra double, dec double")
+    got = {r.identify_code: r.pointing for r in pointing.assignment_with_spill(df, pc, 6, 0.6).collect()}
+    sep = {(r.l_id, r.r_id): r.separation for r in spatial.cone_pairs(df.withColumnRenamed("identify_code", "l_id"), pc.withColumnRenamed("pointing", "r_id"), 0.6).collect()}
+    weight = {t[0]: t[3] for t in target}
+    held = {k: sorted((t for t in got if got[t] == k), key=lambda t: (-weight[t], sep[t, k], t)) for k, _, _ in ppc}
+    assert all(len(v) <= 6 for v in held.values()) and len(got) > len(pointing.greedy_assignment(df, pc, 6, 0.6).collect())
+    for (t, k), d in sep.items():
+        if t not in got or d < sep[t, got[t]]:  # t would like k better
+            worst = held[k][-1]
+            assert len(held[k]) == 6 and (-weight[worst], sep[worst, k], worst) < (-weight[t], d, t)
+    assert pointing.assignment_with_spill(df.limit(0), pc, 6).count() == 0
+
+
+def test_headers_and_exclusions(spark, tmp_path):
+    page = "<table><tr><td>Title</td></tr><tr><td>Date</td><td>Night  Observation\n Schedule</td></tr><tr><td>3/1</td><td>a   b</td></tr></table>"
+    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
+    assert rows(text.table_with_header(text.html_rows(pages), ["Date", "Night Observation Schedule"]), "row_no", "cells") == [(2, ["3/1", "a b"])]
+    lines = spark.createDataFrame([("18:30-23:00 {x} SPEC (a; S24A-001) 1:00-2:00 SPEC (a; S24A-002) 1:00-2:00 {x} SPECX (a; S24A-003) 11:00-12:00 {x} SPEC run (a; S24A-004QN) 3:00-4:00 {x} SPEC (a)",)], "line string")
+    entries = text.schedule_entries(lines, "SPEC")
+    assert rows(entries, "start", "proposal_id") == [("11:00", "S24A-004QN"), ("18:30", "S24A-001")]
+    assert rows(text.classic_proposals(entries, ["S24A-001"])) == [("S24A-004QN",)]
+    assert config.from_environment({"a": {"n": 0, "f": False}}, "a", "n", "NOT_SET_HERE", default=5) == 0
+    broken = tmp_path / "table"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        tables.read_through(spark, str(broken), lambda: spark.range(1)).collect()
+    assert (broken / "part-0.parquet").read_bytes() == b"no parquet"
+
+
+def test_one_cluster_needs_a_folder(spark, monkeypatch):
+    class Elsewhere:
+        master = "spark://host:7077"
+
+    class Frame:
+        class sparkSession:  # noqa: N801
+            conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+            sparkContext = Elsewhere
+
+    with pytest.raises(ValueError):
+        spatial.cut_lineage(Frame)
+
+
+def test_policies_of_angles():
+    from skyplan.operators import programs
+
+    assert programs.fixed_angle({"fixed_ppc_pa": None, "ppc_pa": 5.0}, 1.0) is None
+    assert programs.fixed_angle({"ppc_pa": 5.0}) == 5.0 and programs.fixed_angle({}, 1.0) == 1.0
