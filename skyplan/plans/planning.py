@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as X
 from ..operators import completion, output, pointing, scoring, targets, weights
+from ..operators.spatial import cut_lineage
 from . import query
 from .binding import REMAINING, TARGETS, UNIQUE, read, remaining_targets, targets as bound_targets, unique_targets
 
@@ -164,8 +165,8 @@ SELECT identify_code, round(ln(CASE WHEN begun THEN w0 + max(w0) OVER () ELSE w0
        round(CASE WHEN begun THEN rank_fin + max(rank_fin) OVER () ELSE rank_fin END, 3) AS rank_fin FROM w
 """)
 def combined_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = weights.local_density(weights.rank_weight(remaining_targets(spark, sf_dir)))
-    w = weights.weighted(t, 900.0, 2.0, 0.5, 0.25)
+    t = weights.local_density(weights.rank_weight(cut_lineage(remaining_targets(spark, sf_dir))))
+    w = weights.weighted(cut_lineage(t), 900.0, 2.0, 0.5, 0.25)
     return w.select("identify_code", F.round(F.ln("weight"), 6).alias("weight"), F.round("rank_fin", 3).alias("rank_fin"))
 
 
@@ -191,7 +192,7 @@ SELECT pointing, n_assigned, n_p1, n_finish, n_continue, n_new_partial, round(us
 FROM cnt JOIN gain USING (pointing), den, worth
 """)
 def pointing_score_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = remaining_targets(spark, sf_dir)
+    t = cut_lineage(remaining_targets(spark, sf_dir))  # read five times
     assigned = t.where("obj_id % 2 = 0").select("identify_code", (F.col("input_catalog_id") % 50).alias("pointing"))
     s = scoring.pointing_scores(t, assigned)
     return s.select("pointing", "n_assigned", "n_p1", "n_finish", "n_continue", "n_new_partial", r6("fh"), r6("prio"), r6("over"), r6("score"))
