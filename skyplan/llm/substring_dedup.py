@@ -584,7 +584,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
         """Rows sorted by class; a large class is dealt to several tasks, which
         leave of each of its strings one at most, marked `over`."""
         size = F.sum(F.octet_length("ctx"))
-        large = written(rows.groupBy("name").agg(size.alias("bytes")).where(F.col("bytes") > block // 2).select("name", F.ceil(F.col("bytes") / (block // 2)).alias("pieces")), "large")
+        large = written(rows.groupBy("name").agg(size.alias("bytes")).where(F.col("bytes") > block // 2).select("name", F.ceil(F.col("bytes") / (block // 8)).alias("pieces")), "large")
         if large.isEmpty():
             dealt = rows.withColumn("over", F.lit(False)).repartition("name")
         else:
