@@ -79,12 +79,12 @@ def exposure_lines(frames: DataFrame, template: str) -> DataFrame:
     return frames.withColumn("text", text)
 
 
-def template_sections(lines: DataFrame) -> DataFrame:
-    """lines (n, line) -> section 0, 1 or 2: before, between and after the
-    marks of the science block. A template is one small file."""
+def template_sections(lines: DataFrame, key: str) -> DataFrame:
+    """lines (key, n, line) -> section 0, 1 or 2: before, between and after the
+    marks of the science block of each template."""
     begin, end = F.col("line").startswith("### SCIENCE:START"), F.col("line").startswith("### SCIENCE:END")
-    w = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(key).orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(key).orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     return lines.withColumn("section", F.sum(begin.cast("int")).over(w) + F.coalesce(F.sum(end.cast("int")).over(before), F.lit(0)))
 
 

@@ -114,12 +114,13 @@ def undo_priority_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT turn, CAST(CASE WHEN turn < 3 THEN 0 WHEN turn <= 5 THEN 1 ELSE 2 END AS BIGINT) AS section FROM (SELECT DISTINCT turn FROM conversations WHERE turn < 9)
+SELECT conv_id, turn, CAST(CASE WHEN turn < 3 THEN 0 WHEN turn <= 5 THEN 1 ELSE 2 END AS BIGINT) AS section FROM conversations
 """)
 def template_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a template with marks at turns 3 and 5."""
     t = F.col("turn")
     line = F.when(t == 3, "### SCIENCE:START ###").when(t == 5, "### SCIENCE:END  ###").otherwise("GET SPECTRUM")
-    return output.template_sections(read(spark, sf_dir, "conversations").where("turn < 9").select(t.alias("n"), line.alias("line")).distinct()).select(F.col("n").alias("turn"), "section")
+    return output.template_sections(read(spark, sf_dir, "conversations").select("conv_id", t.alias("n"), line.alias("line")), "conv_id").select("conv_id", F.col("n").alias("turn"), "section")
 
 
 @query("""

@@ -243,21 +243,14 @@ def top_pointings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PPC = """
-ppc AS (SELECT 'ppc_' || CAST(l_suppkey AS VARCHAR) AS ppc_code, list(DISTINCT CAST(l_orderkey AS VARCHAR)) AS ids FROM lineitem WHERE l_quantity > 45 GROUP BY l_suppkey),
+ppc AS (SELECT 'ppc_' || CAST(l_suppkey AS VARCHAR) AS ppc_code, list(DISTINCT CAST(l_orderkey AS VARCHAR)) AS ids FROM lineitem GROUP BY l_suppkey),
 al AS (SELECT ppc_code, unnest(ids) AS identify_code FROM ppc),
 t AS (SELECT CAST(o_orderkey AS VARCHAR) AS identify_code, round(o_totalprice) AS rank_fin FROM orders WHERE o_orderstatus <> 'P'),
 sched AS (SELECT 'ppc_' || CAST(user_id AS VARCHAR) AS ppc_code, min(ts) AS obstime FROM events GROUP BY user_id)"""
 
 
-#: The bound on the quantity is a choice of the fixture, with no stated meaning;
-#: the queries _all read every line.
-_PPC_ALL = _PPC.replace(" WHERE l_quantity > 45", "")
-
-
-def _ppc(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
-    line = read(spark, sf_dir, "lineitem")
-    line = line if every else line.where("l_quantity > 45")
-    return line.groupBy(F.concat(F.lit("ppc_"), F.col("l_suppkey").cast("string")).alias("ppc_code")).agg(F.collect_set(F.col("l_orderkey").cast("string")).alias("ppc_allocated_targets"))
+def _ppc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("ppc_"), F.col("l_suppkey").cast("string")).alias("ppc_code")).agg(F.collect_set(F.col("l_orderkey").cast("string")).alias("ppc_allocated_targets"))
 
 
 def _ppc_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,17 +268,6 @@ def plan_output_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("ppc_code", "identify_code", "rank_fin", F.date_format("obstime", "yyyy-MM-dd HH:mm:ss").alias("obstime"), F.col("obsdate_in_hst").cast("string").alias("obsdate_in_hst"))
 
 
-@query(f"""
-WITH {_PPC_ALL}
-SELECT ppc_code, identify_code, rank_fin, CAST(obstime AS VARCHAR)[1:19] AS obstime, CAST(CAST(obstime AS DATE) - 1 AS VARCHAR) AS obsdate_in_hst
-FROM sched JOIN al USING (ppc_code) JOIN t USING (identify_code)
-""")
-def plan_output_explode_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sched = read(spark, sf_dir, "events").groupBy(F.concat(F.lit("ppc_"), F.col("user_id").cast("string")).alias("ppc_code")).agg(F.min("ts").alias("obstime"))
-    out = output.plan_output(_ppc(spark, sf_dir, True), sched, _ppc_targets(spark, sf_dir))
-    return out.select("ppc_code", "identify_code", "rank_fin", F.date_format("obstime", "yyyy-MM-dd HH:mm:ss").alias("obstime"), F.col("obsdate_in_hst").cast("string").alias("obsdate_in_hst"))
-
-
 @query(f"""
 WITH {_PPC}
 SELECT ppc_code, sum(rank_fin) AS ppc_priority, count(*) AS n_targets, round(count(*) / 2394, 9) AS usage_fraction, round(count(*) / 2394 * 100, 6) AS usage_percent
@@ -296,16 +278,6 @@ def pointing_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("usage_fraction", F.round("usage_fraction", 9)).withColumn("usage_percent", F.round("usage_percent", 6))
 
 
-@query(f"""
-WITH {_PPC_ALL}
-SELECT ppc_code, sum(rank_fin) AS ppc_priority, count(*) AS n_targets, round(count(*) / 2394, 9) AS usage_fraction, round(count(*) / 2394 * 100, 6) AS usage_percent
-FROM al LEFT JOIN t USING (identify_code) GROUP BY ppc_code
-""")
-def pointing_priority_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scoring.pointing_priority(_ppc(spark, sf_dir, True), _ppc_targets(spark, sf_dir))
-    return out.withColumn("usage_fraction", F.round("usage_fraction", 9)).withColumn("usage_percent", F.round("usage_percent", 6))
-
-
 @query(f"""
 WITH {_PPC}, n AS (SELECT identify_code, count(*) AS n FROM al GROUP BY identify_code)
 SELECT identify_code, rank_fin, coalesce(n, 0) * 900.0 AS exptime_assign FROM t LEFT JOIN n USING (identify_code)
@@ -314,14 +286,6 @@ def allocated_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.allocated_counts(_ppc(spark, sf_dir), _ppc_targets(spark, sf_dir), 900.0)
 
 
-@query(f"""
-WITH {_PPC_ALL}, n AS (SELECT identify_code, count(*) AS n FROM al GROUP BY identify_code)
-SELECT identify_code, rank_fin, coalesce(n, 0) * 900.0 AS exptime_assign FROM t LEFT JOIN n USING (identify_code)
-""")
-def allocated_seconds_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return output.allocated_counts(_ppc(spark, sf_dir, True), _ppc_targets(spark, sf_dir), 900.0)
-
-
 @query("""
 WITH s AS (SELECT o_custkey % 36 * 10 - 90 AS pa, round(o_totalprice) AS priority, o_custkey % 100 AS usage, o_orderkey % 97 AS t FROM orders)
 SELECT CAST(pa AS DOUBLE) AS pa, sum(priority) AS priority, CAST(sum(usage) AS DOUBLE) AS usage, count(DISTINCT t) AS n_targets FROM s GROUP BY pa

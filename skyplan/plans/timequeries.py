@@ -12,25 +12,6 @@ from . import query
 from .binding import read
 
 
-@query("""
-WITH o AS (SELECT CAST(ts AS DATE) AS night, ts AS start FROM events WHERE user_id % 20 = 0),
-w AS (SELECT DISTINCT CAST(ts AS DATE) AS night, CAST(ts AS DATE) + INTERVAL 4 HOUR AS ws, CAST(ts AS DATE) + INTERVAL 16 HOUR AS we FROM events),
-i AS (SELECT o.night, ws, we, start, start + INTERVAL 1260 SECOND AS stop FROM o JOIN w USING (night) WHERE start BETWEEN ws AND we),
-l AS (SELECT *, lag(start) OVER k AS b, lead(start) OVER k AS a FROM i WINDOW k AS (PARTITION BY night ORDER BY start)),
-g AS (
-  SELECT night, ws AS s, start AS e, 10 AS m FROM l WHERE b IS NULL
-  UNION ALL SELECT night, stop, coalesce(a, we), CASE WHEN a IS NULL THEN 10 ELSE 15 END FROM l
-  UNION ALL SELECT night, ws, we, 10 FROM w WHERE night NOT IN (SELECT night FROM i))
-SELECT CAST(night AS VARCHAR) AS night, epoch_us(s) AS gap_start, epoch_us(e) AS gap_stop FROM g WHERE epoch_us(e) - epoch_us(s) > m * 60000000
-""")
-def schedule_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").select(F.to_date("ts").alias("night"), F.col("ts").cast("timestamp").alias("start"), "user_id")
-    day = F.col("night").cast("timestamp")
-    w = e.select("night").distinct().select("night", (day + F.expr("INTERVAL 4 HOURS")).alias("win_start"), (day + F.expr("INTERVAL 16 HOURS")).alias("win_stop"))
-    gaps = schedule.schedule_gaps(e.where("user_id % 20 = 0").select("night", "start"), w)
-    return gaps.select(F.col("night").cast("string").alias("night"), F.unix_micros("gap_start").alias("gap_start"), F.unix_micros("gap_stop").alias("gap_stop"))
-
-
 @query("""
 WITH o AS (SELECT CAST(user_id AS VARCHAR) || ' ' || CAST(CAST(ts AS DATE) AS VARCHAR) AS night, CAST(ts AS DATE) AS day, ts AS start FROM events),
 w AS (SELECT DISTINCT night, day + INTERVAL 4 HOUR AS ws, day + INTERVAL 16 HOUR AS we FROM o),
@@ -42,9 +23,9 @@ g AS (
   UNION ALL SELECT night, ws, we, 10 FROM w WHERE night NOT IN (SELECT night FROM i))
 SELECT night, epoch_us(s) AS gap_start, epoch_us(e) AS gap_stop FROM g WHERE epoch_us(e) - epoch_us(s) > m * 60000000
 """)
-def schedule_gaps_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+def schedule_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps in every user's own nights: all events count, and gaps show at any
-    size. schedule_gaps sees one user in twenty, as its SQL does."""
+    size."""
     t = F.col("ts").cast("timestamp")
     e = read(spark, sf_dir, "events").select(F.concat_ws(" ", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("night"), t.alias("start"))
     day = F.date_trunc("day", "start")

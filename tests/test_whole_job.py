@@ -13,12 +13,12 @@ def test_gaps_of_every_event(spark, monkeypatch):
 
     seen, real = [], schedule.schedule_gaps
     monkeypatch.setattr(schedule, "schedule_gaps", lambda observed, *a, **b: seen.append(observed) or real(observed, *a, **b))
-    n = plans.QUERIES["schedule_gaps_by_user"](spark, SF).count()
+    n = plans.QUERIES["schedule_gaps"](spark, SF).count()
     assert seen[0].count() == spark.read.parquet(f"{SF}/events.parquet").count() and n > 0
     con = duckdb.connect()
     con.sql(f"create view events as select * from '{SF}/events.parquet'")
-    want = con.sql(plans.ORACLE_SQL["schedule_gaps_by_user"]).fetchall()
-    assert sorted(map(tuple, plans.QUERIES["schedule_gaps_by_user"](spark, SF).select("night", "gap_start", "gap_stop").collect())) == sorted(want)
+    want = con.sql(plans.ORACLE_SQL["schedule_gaps"]).fetchall()
+    assert sorted(map(tuple, plans.QUERIES["schedule_gaps"](spark, SF).select("night", "gap_start", "gap_stop").collect())) == sorted(want)
 
 
 def test_every_night_is_scheduled(spark):
@@ -42,6 +42,6 @@ def test_every_line_is_parsed(spark, tmp_path):
 
 def test_every_camera_and_line_counts(spark):
     n = spark.read.parquet(f"{SF}/embeddings.parquet").count()
-    assert plans.QUERIES["camera_counts_all"](spark, SF).where("cam is null").agg({"n": "sum"}).first()[0] == n
+    assert plans.QUERIES["camera_counts"](spark, SF).where("cam is null").agg({"n": "sum"}).first()[0] == n
     pairs = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_suppkey", "l_orderkey").distinct().count()
-    assert plans.QUERIES["pointing_priority_all"](spark, SF).agg({"n_targets": "sum"}).first()[0] == pairs
+    assert plans.QUERIES["pointing_priority"](spark, SF).agg({"n_targets": "sum"}).first()[0] == pairs
