@@ -27,42 +27,38 @@ def _sort(text: np.ndarray) -> np.ndarray:
     n = len(text)
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), np.int64)
-    t = np.zeros(n + 4, np.int64)
+    t = np.zeros(n + 5, np.int64)
     t[:n] = text
-    m = n + (n % 3 == 1)  # one more than there are, so that it ends the first half of the names
-    n_ones, n_twos = len(range(1, m, 3)), len(range(2, n, 3))
+    extra = n % 3 == 1  # the place behind the end ends the first half of the names
+    n_zeros, n_ones, n_twos = (n + 2) // 3, (n + 1) // 3 + extra, n // 3
     base = int(text.max()) + 1
 
-    def triples(first: int, number: int) -> np.ndarray:
-        a, b, c = (t[first + k :: 3][:number] for k in range(3))
-        return (a * base + b) * base + c
+    def symbols(first: int, number: int) -> np.ndarray:
+        return t[first::3][:number]
 
-    order = _named(np.concatenate((triples(1, n_ones), triples(2, n_twos))))
-    sampled = 3 * order + 1  # where the sampled suffixes start, in order
-    second = order >= n_ones
-    sampled[second] -= 3 * n_ones - 1
-    rank = np.zeros(n + 4, np.int64)  # 0 behind the end
-    rank[sampled] = np.arange(1, len(order) + 1)
-    if m > n:
-        keep = sampled < n
-        sampled, second = sampled[keep], second[keep]
+    def pairs(first: int, number: int) -> np.ndarray:
+        return symbols(first, number) * base + symbols(first + 1, number)
 
+    order = _named(np.concatenate((pairs(1, n_ones) * base + symbols(3, n_ones), pairs(2, n_twos) * base + symbols(4, n_twos))))
     wide = len(order) + 1
-    n_zeros = len(range(0, n, 3))
-    key = t[0::3][:n_zeros] * wide + rank[1::3][:n_zeros]  # all different
-    by_key = np.argsort(key)
-    key, zeros = key[by_key], 3 * by_key
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(1, wide)
+    ones, twos = np.zeros(n_zeros + 1, np.int64), np.zeros(n_zeros + 1, np.int64)  # ranks; 0 behind the end
+    ones[:n_ones], twos[:n_twos] = rank[:n_ones], rank[n_ones:]
+    order = order[int(extra) :]  # that place is the least
+    second = order >= n_ones
+    is_one, is_two = order[~second], order[second] - n_ones
 
-    s1, s2 = sampled[~second], sampled[second]
+    key = symbols(0, n_zeros) * wide + ones[:n_zeros]  # all different
+    by_key = np.argsort(key)
     before = np.arange(n_zeros)
-    before += np.searchsorted(t.take(s1) * wide + rank.take(s1 + 1), key)
-    deep = (t[0::3][:n_zeros] * base + t[1::3][:n_zeros]) * wide + rank[2::3][:n_zeros]
-    before += np.searchsorted((t.take(s2) * base + t.take(s2 + 1)) * wide + rank.take(s2 + 2), deep.take(by_key))
+    before += np.searchsorted((symbols(1, n_ones) * wide + twos[:n_ones]).take(is_one), key.take(by_key))
+    before += np.searchsorted((pairs(2, n_twos) * wide + ones[1:][:n_twos]).take(is_two), (pairs(0, n_zeros) * wide + twos[:n_zeros]).take(by_key))
     out = np.empty(n, np.int64)
     free = np.ones(n, bool)
     free[before] = False
-    out[before] = zeros
-    out[free] = sampled
+    out[before] = 3 * by_key
+    out[free] = 3 * order + 1 - second * (3 * n_ones - 1)
     return out
 
 
