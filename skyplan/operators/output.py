@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import design_hex
+from .numbering import numbered
 
 #: The export's columns.
 PPC_COLUMNS = (
@@ -35,19 +36,20 @@ def plan_output(ppc: DataFrame, schedule: DataFrame, target: DataFrame) -> DataF
 def export_pointings(ppc: DataFrame, classic: bool = False, single: float = 900.0) -> DataFrame:
     """The export's columns in order, gaps filled."""
     have = set(ppc.columns)
+    ranked = ppc if "ppc_priority" in have else numbered(ppc, [F.col("ppc_code")], "__rank")
 
     def given(c: str, default: Column) -> Column:
         return F.coalesce(F.col(c), default) if c in have else default
 
-    by_rank = F.lit(None).cast("double") if "ppc_priority" in have else F.row_number().over(Window.orderBy("ppc_code")).cast("double")
-    usr = given("ppc_priority_usr", F.col("ppc_priority") if "ppc_priority" in have else by_rank)
-    absent = {} if "ppc_priority" in have else {"ppc_priority": by_rank}
+    rank = F.col("ppc_priority") if "ppc_priority" in have else F.col("__rank").cast("double")
+    usr = given("ppc_priority_usr", rank)
+    absent = {} if "ppc_priority" in have else {"ppc_priority": rank}
     values = absent | {
         "ppc_equinox": given("ppc_equinox", F.lit("J2000")), "ppc_priority_usr": usr, "ppc_exptime": given("ppc_exptime", F.lit(single if classic else 900.0)),
         "ppc_totaltime": given("ppc_totaltime", F.lit(single + 300 if classic else 1200.0)), "ppc_comment": given("ppc_comment", F.lit("")),
         "ppc_fiber_usage_frac": given("ppc_fiber_usage_frac", F.lit(None).cast("double")),
     }
-    return ppc.withColumns(values).select(*[c for c in PPC_COLUMNS if c in have or c in values])
+    return ranked.withColumns(values).select(*[c for c in PPC_COLUMNS if c in have or c in values])
 
 
 def export_targets(target: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
@@ -93,16 +95,16 @@ def merge_index(science: DataFrame, standard: DataFrame, sky: DataFrame) -> Data
     the sizes of the lists before, so each is numbered apart."""
     out, offset = None, 0
     for kind, df in enumerate((science, standard, sky)):
-        rows = df.select("obj_id", "cobra_id", F.lit(kind).alias("kind")).withColumn("idx", F.row_number().over(Window.orderBy("cobra_id", "obj_id")) - 1 + offset)
+        rows = numbered(df.select("obj_id", "cobra_id", F.lit(kind).alias("kind")), [F.col("cobra_id"), F.col("obj_id")], "idx")
+        rows = rows.withColumn("idx", F.col("idx") - 1 + offset)
         offset += df.count()
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
 def pointing_codes(ppc: DataFrame, resolution: str, date: str, order: str, backup: bool = False) -> DataFrame:
-    n = F.row_number().over(Window.orderBy(order)).cast("string")
-    parts = [F.lit("que"), F.lit(resolution), F.lit(date), n] + ([F.lit("backup")] if backup else [])
-    return ppc.withColumn("ppc_code", F.concat_ws("_", *parts))
+    parts = [F.lit("que"), F.lit(resolution), F.lit(date), F.col("__n").cast("string")] + ([F.lit("backup")] if backup else [])
+    return numbered(ppc, [F.col(order)], "__n").withColumn("ppc_code", F.concat_ws("_", *parts)).drop("__n")
 
 
 def target_class(priority: Column | str) -> Column:

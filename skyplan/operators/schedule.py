@@ -127,8 +127,10 @@ def greedy_schedule(candidates: DataFrame, slots_per_night: int) -> DataFrame:
     and one pass over them, whose number doesn't grow with the pointings but
     with the nights, accepts in order."""
     nights = candidates.select("night").distinct().withColumn("__k", F.row_number().over(Window.orderBy("night")))  # a row per night
+    most = slots_per_night * nights.count()
     w = Window.partitionBy("night").orderBy(F.col("score").desc(), "ppc")
-    ranked = candidates.join(F.broadcast(nights), "night").withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= slots_per_night * F.col("__k"))
+    best = candidates.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most)  # a fixed limit, which tasks apply before the shuffle
+    ranked = best.join(nights, "night").where(F.col("__n") <= slots_per_night * F.col("__k"))
 
     def accept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         taken: set = set()
@@ -145,7 +147,7 @@ def greedy_schedule(candidates: DataFrame, slots_per_night: int) -> DataFrame:
             yield out[out["slot"] > 0].drop(columns=["__k", "__n"])
 
     schema = StructType([*candidates.schema.fields, StructField("slot", IntegerType())])
-    ordered = ranked.select(*candidates.columns, "__k", "__n").coalesce(1).sortWithinPartitions("__k", "__n")
+    ordered = ranked.select(*candidates.columns, "__k", "__n").repartition(1).sortWithinPartitions("__k", "__n")
     return ordered.mapInPandas(accept, schema)
 
 

@@ -8,15 +8,14 @@ its own; equal cells meet in a plain equi-join, and the exact distance decides.
 
 from __future__ import annotations
 
-import atexit
 import math
-import re
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import sector_points, separation
+from .lineage import cut_lineage
+from .numbering import numbered
 
 
 def _band(dec: Column, radius: float) -> Column:
@@ -66,34 +65,6 @@ def self_pairs(points: DataFrame, radius: float) -> DataFrame:
     return found.where("l_id < r_id").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), "separation")
 
 
-_ROUNDS: list[tuple[SparkSession, str]] = []
-
-
-@atexit.register
-def _drop_rounds() -> None:
-    for spark, path in _ROUNDS:
-        try:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001  the session may have ended
-            return
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """A written copy in the session's shared checkpoint folder, deleted when
-    the driver ends; without a folder, in local mode only, a cache stands in."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        return df.cache()
-    path = f"{folder.rstrip('/')}/round-{uuid.uuid4().hex}"
-    _ROUNDS.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def connected_groups(points: DataFrame, radius: float, max_rounds: int = 100) -> DataFrame:
     """points (id, ra, dec) -> (id, group): the least id reachable by steps
     within the radius. Labels take the least of the neighbours' and then that
@@ -119,8 +90,7 @@ def clusters_by_weight(points: DataFrame, radius: float = 1.38) -> DataFrame:
     groups = connected_groups(points, radius)
     met = points.join(groups, "id")
     heavy = met.groupBy("group").agg(F.sum("rank_fin").alias("total"))
-    ranked = heavy.withColumn("order", F.row_number().over(Window.orderBy(F.col("total").desc(), "group")))
-    return met.join(ranked, "group")
+    return met.join(numbered(heavy, [F.col("total").desc(), F.col("group")], "order"), "group")
 
 
 def density_peak(points: DataFrame, radius: float = 0.69, step: float = 0.5) -> DataFrame:

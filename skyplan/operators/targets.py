@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ceil_to, filled, identify_code, known, text_or_null
+from .numbering import numbered
 
 BANDS = ("g", "r", "i", "z", "y")
 FLUX_COLUMNS = tuple(f"{kind}_flux_{part}{b}" for kind in ("psf", "total") for part in ("", "error_") for b in BANDS)
@@ -121,7 +122,7 @@ def clean_filters(df: DataFrame, bands: tuple[str, ...] = BANDS) -> DataFrame:
 def pointing_metadata(ppc: DataFrame, resolution: str | None = None) -> DataFrame:
     """Position angle and priority with gaps filled; the index counts all
     pointings, before the filter on resolution."""
-    out = ppc.withColumn("idx", F.row_number().over(Window.orderBy("ppc_code")) - 1)
+    out = numbered(ppc, [F.col("ppc_code")], "idx").withColumn("idx", F.col("idx") - 1)
     finite = known("ppc_pa")
     out = out.withColumn("ppc_pa", F.when(F.abs(finite) < float("inf"), finite)).withColumn("ppc_priority", filled("ppc_priority"))
     return out if resolution is None else out.where(F.col("ppc_resolution") == resolution)
@@ -152,7 +153,12 @@ def undo_priority_offset(target: DataFrame, offsets: DataFrame) -> DataFrame:
 
 def near_equal_chunks(df: DataFrame, k: int, order: list[str]) -> DataFrame:
     """A chunk number in 1..k, the first chunks one longer if need be."""
-    return df.withColumn("chunk", F.ntile(k).over(Window.orderBy(*order_of(order))))
+    size, longer = divmod(df.count(), k)
+    at = F.col("__p") - 1
+    in_longer = F.floor(at / (size + 1)) + 1
+    in_others = F.floor((at - longer * (size + 1)) / max(size, 1)) + longer + 1
+    chunk = F.when(at < longer * (size + 1), in_longer).otherwise(in_others)
+    return numbered(df, order_of(order), "__p").withColumn("chunk", chunk.cast("int")).drop("__p")
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:

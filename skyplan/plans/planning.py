@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as X
 from ..operators import completion, output, pointing, scoring, targets, weights
-from ..operators.spatial import cut_lineage
+from ..operators.lineage import cut_lineage
 from . import query
 from .binding import REMAINING, TARGETS, UNIQUE, read, remaining_targets, targets as bound_targets, unique_targets
 

@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skyplan.operators import completion, design, output, pointing, schedule, scoring, spatial, targets, validate, weights
+from skyplan.operators import completion, design, lineage, output, pointing, schedule, scoring, spatial, targets, validate, weights
+from skyplan.operators.numbering import numbered
 from skyplan.sources import config, tables, text
 
 NAN = float("nan")
@@ -330,7 +332,7 @@ def test_one_cluster_needs_a_folder(spark, monkeypatch):
             sparkContext = Elsewhere
 
     with pytest.raises(ValueError):
-        spatial.cut_lineage(Frame)
+        lineage.cut_lineage(Frame)
 
 
 def test_policies_of_angles():
@@ -338,3 +340,17 @@ def test_policies_of_angles():
 
     assert programs.fixed_angle({"fixed_ppc_pa": None, "ppc_pa": 5.0}, 1.0) is None
     assert programs.fixed_angle({"ppc_pa": 5.0}) == 5.0 and programs.fixed_angle({}, 1.0) == 1.0
+
+
+def test_numbers_run_over_all_parts(spark):
+    ids = spark.range(0, 5000, 1, 7).select(F.pmod(F.col("id") * 37, F.lit(5000)).alias("x"))
+    got = numbered(ids, [F.col("x")], "n")
+    assert got.where("n <> x + 1").isEmpty() and got.count() == 5000
+    assert numbered(ids.where("x < 0"), [F.col("x")], "n").collect() == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 7, 23])
+def test_chunks_as_array_split(spark, n):
+    out = targets.near_equal_chunks(spark.range(n), 7, ["id"])
+    parts = np.array_split(np.arange(n), 7)
+    assert rows(out, "id", "chunk") == sorted([(int(x), k) for k, p in enumerate(parts, 1) for x in p], key=repr)
