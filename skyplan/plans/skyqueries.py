@@ -212,10 +212,19 @@ def angle_wraps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.round(X.wrap_pa("s_acctbal"), 6).alias("pa"), F.round(X.wrap_signed("s_acctbal"), 6).alias("signed"))
 
 
-@query()
+@query(f"""
+WITH {_SUPPLIERS},
+o AS (SELECT i, j FROM range(-6, 7) a(i), range(-6, 7) b(j)),
+c AS (SELECT round_even(ra, 0) + i AS gx, round_even(dec, 0) + j AS gy, ra, dec, abs(s_acctbal) AS w FROM s, o),
+m AS (SELECT gx, gy, sum(w * (1 - sqrt(pow(gx - ra, 2) + pow(gy - dec, 2)) / 5)) AS density FROM c WHERE sqrt(pow(gx - ra, 2) + pow(gy - dec, 2)) < 5 GROUP BY gx, gy),
+z AS (SELECT gx, gy, density, (density - avg(density) OVER ()) / stddev_pop(density) OVER () AS z FROM m),
+t AS (SELECT *, row_number() OVER (ORDER BY gx, gy) - 1 AS i, count(*) OVER () AS n FROM z WHERE z = (SELECT max(z) FROM z))
+SELECT gx AS ra, gy AS dec, round(density, 6) AS density, round(z, 6) AS z FROM t WHERE i = least(round_even(n * 0.5, 0), n - 1)
+""")
 def density_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _suppliers(spark, sf_dir).select("ra", "dec", F.abs("s_acctbal").alias("weight"))
-    return spatial.middle_of_peak(spatial.density_peak(p, 5.0, 1.0))
+    peak = spatial.middle_of_peak(spatial.density_peak(p, 5.0, 1.0))
+    return peak.select("ra", "dec", F.round("density", 6).alias("density"), F.round("z", 6).alias("z"))
 
 
 @query(f"""
