@@ -92,6 +92,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import conversation_trie
+
+    nodes = conversation_trie(read(spark, sf_dir, "conversations"))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .resampling import scored
+
+    rows = scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return rows.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import LAW, shard
+
+    rows = shard(read(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_warc, op2_license_scan, op3_quality_rules, op4_substring_dedup, op5_token_counts, op6_mixing, op7_language_id, op8_decontaminate,
-        op9_line_dedup, op10_simhash, pipeline,
+        op9_line_dedup, op10_simhash, op11_prefix_trie, op12_resampling, op13_sharding, pipeline,
     )
 }
