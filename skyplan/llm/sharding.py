@@ -76,8 +76,9 @@ def balanced(sizes: list[int], n_shards: int = N_SHARDS) -> list[int]:
 def rebalanced(shard_of: list[int], sizes: list[int], n_shards: int, tolerance: float = 0.01) -> list[int]:
     """The map edited for n_shards and the slots' present sizes. Slots of
     shards that are gone move first; then, while the heaviest shard is above
-    the mean by more than the tolerance, its largest slot moves that leaves
-    the lightest shard below what the heaviest was."""
+    the mean by more than the tolerance, its largest slot moves that brings
+    the lightest shard nearer to the mean. A shard that has no such slot, for
+    one of its slots alone is too large, is left out of the mean from then."""
     out, members = list(shard_of), [set() for _ in range(n_shards)]
     loads = [0] * n_shards
     for slot, k in enumerate(out):
@@ -96,16 +97,19 @@ def rebalanced(shard_of: list[int], sizes: list[int], n_shards: int, tolerance:
 
     for slot in sorted((s for s, k in enumerate(shard_of) if k >= n_shards), key=lambda s: (-sizes[s], s)):
         move(slot, least())
-    mean = sum(sizes) / n_shards
-    while True:
-        top, low = max(range(n_shards), key=lambda k: (loads[k], -k)), least()
+    able = set(range(n_shards))  # a shard that no slot can leave with profit is out
+    while able:
+        mean = sum(loads[k] for k in able) / len(able)
+        top, low = max(able, key=lambda k: (loads[k], -k)), min(able, key=lambda k: (loads[k], len(members[k]), k))
         if loads[top] <= mean * (1 + tolerance):
-            return out
+            break
         # of those that don't overshoot the mean by more than they mend, the largest
         fit = [s for s in members[top] if sizes[s] and loads[low] + sizes[s] < loads[top] and (loads[low] + sizes[s] <= mean or loads[low] + sizes[s] - mean < mean - loads[low])]
-        if not fit:
-            return out
-        move(max(fit, key=lambda s: (sizes[s], -s)), low)
+        if fit:
+            move(max(fit, key=lambda s: (sizes[s], -s)), low)
+        else:
+            able.remove(top)
+    return out
 
 
 def save_map(spark: SparkSession, path: str, version: int, shard_of: list[int]) -> None:
