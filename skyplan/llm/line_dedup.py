@@ -3,12 +3,13 @@
 A line (text between LFs, with a character outside space and TAB..CR) that
 occurs on min_sites distinct sites or more is boilerplate: it stays where it
 first occurs (least id, then position; null ids last) and goes elsewhere, so
-no text is lost from the corpus. Unless given, min_sites is 10, or half of the
-distinct sites (2 at least) where there are fewer than 19. A HyperLogLog sketch of the sites per line,
-merged by map-side aggregation, gives an estimate; lines whose estimate is
-within `band` of the threshold get an exact distinct count, so the result is
-that of exact counts unless a sketch errs by more than the band (over six
-standard errors at the default of 2^10 registers).
+no text is lost from the corpus. min_sites is the share `site_share` of the
+distinct sites, rounded up, and 2 at least, whatever their number; a caller
+may give a number instead. A HyperLogLog sketch of the sites per line, merged
+by map-side aggregation, gives an estimate; lines whose estimate is within
+`band` of the threshold get an exact distinct count, so the result is that of
+exact counts unless a sketch errs by more than the band (over six standard
+errors at the default of 2^10 registers).
 
 Lines are named by two 64-bit hashes. Texts are split once: the hashes, site,
 id and position of every line are written. A line that occurs too seldom to
@@ -26,6 +27,8 @@ that goes takes its LF along.
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +37,9 @@ from .common import packed, release, sent_if_small, text_hash, unpacked, written
 
 #: log2 of the registers of a sketch; its standard error is about 1.04 / 32.
 LG_K = 10
-#: min_sites, unless given: half of the distinct sites, within these bounds.
-LEAST_SITES, MOST_SITES = 2, 10
+#: The share of the distinct sites that makes a line boilerplate; a line on
+#: one site alone never is.
+SITE_SHARE, LEAST_SITES = 0.5, 2
 #: What a line with a word has.
 _WORDED = "[^\\x20\\x09-\\x0D]"
 
@@ -78,11 +82,11 @@ def _keep(texts: pa.Array, gone: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25) -> DataFrame:
+def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25, site_share: float = SITE_SHARE) -> DataFrame:
     """Columns `row`, `n_lines`, `n_removed` and `clean` (the text left)."""
     if min_sites is None:
         sites = docs.select(F.xxhash64(F.col(site_col).isNull(), F.col(site_col)).alias("site")).distinct().count()
-        min_sites = max(LEAST_SITES, min(MOST_SITES, (sites + 1) // 2))
+        min_sites = max(LEAST_SITES, math.ceil(site_share * sites))
     lines = written(lines_of(docs, id_col, site_col, text_col), "lines")
     common = common_lines(lines, min_sites * (1 - band))
     release(lines)
@@ -97,7 +101,7 @@ def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "sourc
     return met.select("row", F.when(text.isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), cleaned.alias("clean"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25, site_share: float = SITE_SHARE) -> DataFrame:
     """docs with boilerplate lines removed from the text."""
-    rows = with_removed(docs, id_col, site_col, text_col, min_sites, band)
+    rows = with_removed(docs, id_col, site_col, text_col, min_sites, band, site_share)
     return unpacked(rows.select(F.col("row").withField(f"`{text_col}`", F.col("clean")).alias("row")))

@@ -39,9 +39,10 @@ OP9 = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, coalesce('s' || source, 'null') AS site, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT rid, doc_id, site, p, ls[p] AS line FROM (SELECT rid, doc_id, site, ls, unnest(range(1, len(ls) + 1)) AS p FROM d)),
 worded AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-wide AS (
-  SELECT line, min(CAST(doc_id AS HUGEINT) * 4294967296 + p) AS first FROM worded GROUP BY line HAVING count(DISTINCT site) >= 10),
-gone AS (SELECT rid, p FROM worded JOIN wide USING (line) WHERE CAST(doc_id AS HUGEINT) * 4294967296 + p <> first),
+least_sites AS (SELECT greatest(2, ceil(0.5 * count(DISTINCT site))) AS n FROM d),
+wide AS (SELECT line FROM worded GROUP BY line HAVING count(DISTINCT site) >= (SELECT n FROM least_sites)),
+placed AS (SELECT rid, p, rank() OVER (PARTITION BY line ORDER BY doc_id NULLS LAST, p) AS place FROM worded JOIN wide USING (line)),
+gone AS (SELECT rid, p FROM placed WHERE place > 1),
 kept AS (
   SELECT l.rid, string_agg(l.line, chr(10) ORDER BY l.p) AS t
   FROM l LEFT JOIN gone ON l.rid = gone.rid AND l.p = gone.p WHERE gone.p IS NULL GROUP BY l.rid)
