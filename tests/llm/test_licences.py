@@ -40,8 +40,8 @@ def slow_scan(files, templates, min_score=0.8):
         lines = [terms(x) for x in (text or "").split("\n")]
         while lines and not lines[0]:
             lines.pop(0)
-        header = [w for x in lines[: lines.index([]) if [] in lines else None] for w in x]
-        best = (0.0, 0, 0, 0, None, 0)
+        header = [w for x in lines[: lines.index([]) if [] in lines else None] if x[0] != "copyright" for w in x]
+        matches = []
         for k, (t, own, other) in enumerate(units_of_templates):
             units = [(0, 0, header)] + ([(1, 0, words)] if named else [])
             size = min(len(own), len(words))
@@ -49,9 +49,12 @@ def slow_scan(files, templates, min_score=0.8):
             for kind, at, unit in units:
                 if set(unit) & set(own):
                     score = cosine(unit, t, other)
-                    if score >= min_score and (score, -k, -kind, -at) > (best[0], -best[1], -best[2], -best[3]):
-                        best = (score, k, kind, at, t.licence, len(unit))
-        found.append((best[4], best[0], ("header", "file", "notice")[best[2]] if best[4] else None, named or (best[4] is not None and 2 * best[5] >= len(words))))
+                    around = words[max(0, at - 3) : at + len(unit) + max(3, t.beyond)]
+                    if score >= min_score and not set(t.never.split()) & set(around) and set(t.near.split()) <= set(around):
+                        matches.append((len(unit), score, -k, -kind, -at, t.licence))
+        strong = [m for m in matches if "Reserved" not in m[5]] or matches
+        best = max([m for m in strong if m[1] >= round(max(x[1] for x in strong) - 0.1, 9)], default=None)
+        found.append((best[5], best[1], ("header", "file", "notice")[-best[3]], named or 2 * best[0] >= len(words)) if best else (None, 0.0, None, named))
     of_dir = {}
     for (path, _), (licence, score, _, declares) in zip(files, found):
         if licence and declares:
@@ -128,11 +131,81 @@ def test_variants_and_confusions():
     assert licence("prose " * 300 + MIT + " prose" * 300) == "MIT" and licence("all of the rights of the person are by the law") is None and licence("") is None
 
 
-@pytest.mark.parametrize("text", ["", "\n\n", "one\ntwo\n\nthree", "\n \n--\none\n--\ntwo"])
+GNU = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+BSD = """Copyright (c) 2024, Jane Doe
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\n"
+REWORDED = """Copyright 2024 Some Company. All rights reserved.
+Permission is granted hereby, free of any charge, to each person that obtains a copy of this software and its associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and sell copies of the Software"""
+
+
+@pytest.mark.parametrize("frequency", ["none", "even", "prose"])
+def test_neighbours(frequency):
+    """Licences whose texts differ in a name, a number or a clause."""
+    from skyplan.llm.license_scan import TEMPLATES, Scanner, words_of
+
+    vocabulary = {w for t in TEMPLATES for w in words_of(t.text.encode())}
+    common = {b"the", b"of", b"a", b"this", b"is", b"by", b"to", b"and", b"or", b"in", b"that"}
+    of = {"none": dict.fromkeys(vocabulary, 0), "even": dict.fromkeys(vocabulary, 500), "prose": {w: 900_000 if w in common else 2000 for w in vocabulary}}
+    s = Scanner(TEMPLATES, 1000 if frequency != "prose" else 10**6, of[frequency], 0.8)
+
+    def licence(text, named=False):
+        return s.scan(text.encode(), named)[:3:2] if named else s.scan(text.encode(), False)[0]
+
+    assert licence(BSD.format("")) == "BSD-2-Clause" and licence(BSD.format(THIRD)) == "BSD-3-Clause"
+    grant = BSD.split("\n")[3]
+    assert licence(grant) == "BSD-2-Clause" and licence(f"{grant}\n{THIRD}") == "BSD-3-Clause"
+    assert licence(GNU.format("library", "Lesser", "2.1")) == "LGPL-2.1" and licence(GNU.format("library", "Lesser", "3")) == "LGPL-3.0"
+    assert licence(GNU.format("program", "Affero", "3")) == "AGPL-3.0" and licence(GNU.format("program", "", "2")) == "GPL-2.0" and licence(GNU.format("program", "", "3")) == "GPL-3.0"
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        assert licence(f"Licensed under CC {kind} 4.0.") == f"CC-{kind}-4.0"
+        assert licence(f"prose and SPDX-License-Identifier: CC-{kind}-4.0") == f"CC-{kind}-4.0"
+    assert licence("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.") == "CC-BY-NC-SA-4.0"
+    assert licence(REWORDED) in ("MIT", None) and licence("Copyright 2024 A. All rights reserved.\n\n" + MIT.replace("hereby granted", "granted")) == "MIT"
+    assert licence("All rights reserved.") == "LicenseRef-AllRightsReserved"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+    assert licence(isc + ".") == "0BSD" and licence(isc + ", provided that the above copyright notice and this permission notice appear in all copies.") == "ISC"
+    assert licence("Licensed under the BSD 2-Clause License") == "BSD-2-Clause" and licence("Licensed under the BSD 3-Clause License") == "BSD-3-Clause"
+    assert licence("Distributed under the Boost Software License, Version 1.0.") == "BSL-1.0" and licence("Released under the zlib License") == "Zlib"
+    assert licence("made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/ this program and the accompanying materials are") == "EPL-2.0"
+
+
+def test_units_that_win(spark):
+    """A whole text under a licence file's name is the unit `file`, a comment
+    block at the top `header`, a sentence in prose `notice`; directories take
+    them on."""
+    from skyplan.llm.license_scan import GRANTS, scan_licenses
+
+    whole = {g[0]: g[1] for g in GRANTS}  # the longest text of each comes last
+    head = "# Copyright (c) 2024 Jane Doe\n# {}\n\nx = 1\n" + "y = 2\n" * 100
+    files = [
+        ("/m/LICENSE", "Copyright (c) 2024 Jane Doe\n\n" + whole["MIT"]), ("/m/src/x.py", "x"), ("/b/COPYING", "Copyright 2020 A and B\n\n" + whole["BSD-3-Clause"]), ("/b/y/z/x.py", "x"),
+        ("/m/own.py", head.format("SPDX-License-Identifier: ISC")), ("/m/own2.py", head.format("Licensed under the Apache License, Version 2.0")), ("/n/x.txt", "word " * 60 + "Released under the MIT License. " + "word " * 60),
+        ("/i/LICENSE", whole["ISC"]), ("/z/LICENSE", whole["0BSD"]), ("/u/UNLICENSE", whole["Unlicense"]),
+    ]
+    got = {r.path: (r.licence, r.unit, r.origin) for r in scan_licenses(spark.createDataFrame(files, "path string, text string")).select("path", "licence", "own.unit", "origin").collect()}
+    assert got == {
+        "/m/LICENSE": ("MIT", "file", "/m/LICENSE"), "/m/src/x.py": ("MIT", None, "/m"), "/b/COPYING": ("BSD-3-Clause", "file", "/b/COPYING"), "/b/y/z/x.py": ("BSD-3-Clause", None, "/b"),
+        "/m/own.py": ("ISC", "header", "/m/own.py"), "/m/own2.py": ("Apache-2.0", "header", "/m/own2.py"), "/n/x.txt": ("MIT", "notice", "/n/x.txt"),
+        "/i/LICENSE": ("ISC", "header", "/i/LICENSE"), "/z/LICENSE": ("0BSD", "header", "/z/LICENSE"), "/u/UNLICENSE": ("Unlicense", "header", "/u/UNLICENSE"),
+    }
+
+
+@pytest.mark.parametrize("text", ["", "\n\n", "one\ntwo\n\nthree", "\n \n--\none\n--\ntwo", "Copyright A\n\none", "# copyright A\none\n\ntwo"])
 def test_header(text):
     from skyplan.llm.license_scan import header_of
 
-    want = {"": b"", "\n\n": b"", "one\ntwo\n\nthree": b"one\ntwo", "\n \n--\none\n--\ntwo": b"one"}
+    want = {"": b"", "\n\n": b"", "one\ntwo\n\nthree": b"one\ntwo", "\n \n--\none\n--\ntwo": b"one", "Copyright A\n\none": b"", "# copyright A\none\n\ntwo": b"one"}
     assert header_of(text.encode()) == want[text]
 
 
