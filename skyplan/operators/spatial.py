@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import sector_points, separation
-from .lineage import cut_lineage
+from .clusters import sky_clusters
 from .numbering import numbered
 
 
@@ -65,23 +65,10 @@ def self_pairs(points: DataFrame, radius: float) -> DataFrame:
     return found.where("l_id < r_id").select(F.col("l_id").alias("a"), F.col("r_id").alias("b"), "separation")
 
 
-def connected_groups(points: DataFrame, radius: float, max_rounds: int = 100) -> DataFrame:
+def connected_groups(points: DataFrame, radius: float) -> DataFrame:
     """points (id, ra, dec) -> (id, group): the least id reachable by steps
-    within the radius. Labels take the least of the neighbours' and then that
-    of their label's own label, which halves the way to go in each round."""
-    pairs = self_pairs(points, radius)
-    edges = cut_lineage(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = cut_lineage(points.select("id", F.col("id").alias("group")))
-    for _ in range(max_rounds):
-        offered = edges.join(labels.select(F.col("id").alias("b"), F.col("group").alias("g")), "b").groupBy(F.col("a").alias("id")).agg(F.min("g").alias("g"))
-        step = labels.join(offered, "id", "left").select("id", F.least("group", "g").alias("now"), F.col("group").alias("was"))
-        jump = step.select(F.col("id").alias("now"), F.col("now").alias("then"))
-        new = cut_lineage(step.join(jump, "now").select("id", F.least("now", "then").alias("group"), "was"))
-        changed = new.where("`group` <> was").limit(1).count()
-        labels = new.select("id", "group")
-        if not changed:
-            return labels
-    raise RuntimeError(f"groups didn't settle in {max_rounds} rounds")
+    within the radius."""
+    return sky_clusters(points, radius)
 
 
 def clusters_by_weight(points: DataFrame, radius: float = 1.38) -> DataFrame:

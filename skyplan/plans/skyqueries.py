@@ -50,16 +50,18 @@ def pointing_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH RECURSIVE {_SUPPLIERS},
-e AS (SELECT a.id AS a, b.id AS b FROM s a, s b WHERE a.id <> b.id AND {separation_sql("a", "b")} <= 6),
-r AS (SELECT id, id AS g FROM s UNION SELECT e.b, r.g FROM r JOIN e ON r.id = e.a),
+WITH RECURSIVE {_PARTS},
+e AS (SELECT a.id AS a, b.id AS b FROM p a, p b WHERE a.id <> b.id AND abs(a.dec - b.dec) <= 1.38 AND {separation_sql("a", "b")} <= 1.38),
+r AS (SELECT id, id AS g FROM p UNION SELECT e.b, r.g FROM r JOIN e ON r.id = e.a AND r.g < e.b),
 c AS (SELECT id, min(g) AS "group" FROM r GROUP BY id),
-h AS (SELECT "group", sum(round(s_acctbal)) AS total FROM c JOIN s USING (id) GROUP BY "group")
-SELECT id, "group", total, CAST(dense_rank() OVER (ORDER BY total DESC, "group") AS INTEGER) AS "order" FROM c JOIN h USING ("group")
+h AS (SELECT "group", sum(round(p_retailprice)) AS total FROM c JOIN p USING (id) GROUP BY "group")
+SELECT id, "group", total, CAST(dense_rank() OVER (ORDER BY total DESC, "group") AS BIGINT) AS "order" FROM c JOIN h USING ("group")
 """)
 def target_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _suppliers(spark, sf_dir).select("id", "ra", "dec", F.round("s_acctbal").alias("rank_fin"))
-    return spatial.clusters_by_weight(p, 6.0).select("id", "group", "total", "order")
+    """Clusters of all targets, the heaviest first."""
+    price = read(spark, sf_dir, "part").select("p_partkey", F.round("p_retailprice").alias("rank_fin"))
+    at = places(spark, sf_dir, "part", "p_partkey", "p").join(price, F.col("p_id") == F.col("p_partkey")).select(F.col("p_id").alias("id"), "ra", "dec", "rank_fin")
+    return spatial.clusters_by_weight(at, 1.38).select("id", "group", "total", "order")
 
 
 @query(f"""
