@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import re
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,14 +25,21 @@ def _drop_rounds() -> None:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A written copy in the session's shared checkpoint folder, deleted when
-    the driver ends; without a folder, in local mode only, a cache stands in."""
+    the driver ends. Where that is unset, in local mode only, a temporary
+    folder stands in for it: a cache would keep the plan, which loops whose
+    rounds read a table more than once would double each time."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        return df.cache()
+        folder = _local_folder()
     path = f"{folder.rstrip('/')}/round-{uuid.uuid4().hex}"
     _ROUNDS.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@cache
+def _local_folder() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='rounds-')}"
