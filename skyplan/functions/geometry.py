@@ -62,11 +62,20 @@ def azimuth(ra: Column | str, dec: Column | str, utc: Column | str, latitude: fl
     return F.pmod(F.degrees(F.atan2(-F.sin(h) * F.cos(d), F.sin(d) * math.cos(p) - F.cos(d) * math.sin(p) * F.cos(h))), F.lit(360.0))
 
 
+def parallactic(ra: Column | str, dec: Column | str, utc: Column | str, latitude: float = LATITUDE) -> Column:
+    h, d, p = F.radians(sidereal(utc) - col(ra)), F.radians(col(dec)), math.radians(latitude)
+    return F.degrees(F.atan2(F.sin(h), math.tan(p) * F.cos(d) - F.sin(d) * F.cos(h)))
+
+
 def rotator_angle(ra: Column | str, dec: Column | str, pa: Column | str, utc: Column | str, latitude: float = LATITUDE) -> Column:
     """Parallactic angle less the position angle, in [-180, 180)."""
-    h, d, p = F.radians(sidereal(utc) - col(ra)), F.radians(col(dec)), math.radians(latitude)
-    parallactic = F.degrees(F.atan2(F.sin(h), math.tan(p) * F.cos(d) - F.sin(d) * F.cos(h)))
-    return wrap_signed(parallactic - col(pa))
+    return wrap_signed(parallactic(ra, dec, utc, latitude) - col(pa))
+
+
+def bearing(ra1: Column | str, dec1: Column | str, ra2: Column | str, dec2: Column | str) -> Column:
+    """The direction of the second point from the first, east of north."""
+    a, b, d = F.radians(col(dec1)), F.radians(col(dec2)), F.radians(col(ra2) - col(ra1))
+    return F.degrees(F.atan2(F.sin(d) * F.cos(b), F.cos(a) * F.sin(b) - F.sin(a) * F.cos(b) * F.cos(d)))
 
 
 def sector_points() -> list[tuple[int, float, float]]:
