@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
-from ..operators import schedule
+from ..operators import nights, schedule
 from ..sources import text as T
 from . import query
-from .binding import read
+from .binding import read, sky
 
 
 @query("""
@@ -151,3 +151,37 @@ def schedule_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.concat(F.lit("18:30-23:00 {grey} SPEC (someone; S24A-"), (100 + F.col("conv_id") % 900).cast("string"), F.lit(") and more"))
     line = F.when(F.col("turn") % 3 == 0, entry).otherwise(F.col("text"))
     return T.schedule_entries(c.select("conv_id", "turn", line.alias("line")), "SPEC").select("conv_id", "turn", "proposal_id")
+
+
+_NIGHT_SLOTS = "SELECT CAST(n AS INTEGER) AS night, CAST(k AS INTEGER) AS slot, TIMESTAMP '2024-03-01 06:00:00' + to_days(CAST(n AS INTEGER)) + to_minutes(CAST(k * 60 AS INTEGER)) AS t FROM range(5) a(n), range(9) b(k)"
+
+
+def _night_slots(spark: SparkSession) -> DataFrame:
+    start = F.lit("2024-03-01 06:00:00").cast("timestamp")
+    rows = spark.range(5).select(F.col("id").cast("int").alias("night")).crossJoin(spark.range(9).select(F.col("id").cast("int").alias("slot")))  # a row per slot
+    return rows.withColumn("t", start + F.make_dt_interval(F.col("night"), F.col("slot")))
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey AS ppc, (p_partkey * CAST(137.508 AS DOUBLE)) % 360.0 AS ra, (p_partkey * CAST(61.8034 AS DOUBLE)) % 120.0 - 30 AS dec FROM part),
+s AS ({_NIGHT_SLOTS}),
+a AS (
+  SELECT ppc, night, slot, degrees(asin(sin(radians(dec)) * sin(radians(19.8256)) + cos(radians(dec)) * cos(radians(19.8256))
+         * cos(radians(((280.46061837 + 360.98564736629 * (epoch_us(t) / 86400e6 + 2440587.5 - 2451545.0) - 155.4761) % 360 + 360) % 360 - ra)))) AS el FROM p, s)
+SELECT ppc, night, count(*) AS n_slots, round(max(el), 6) AS highest FROM a WHERE el BETWEEN 30 AND 75 GROUP BY ppc, night
+""")
+def visible_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots of five nights in which a pointing stands within the limits, by
+    intervals of hour angle; the SQL computes every pair."""
+    ra, dec = sky("p_partkey")
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("ppc"), ra.alias("ra"), dec.alias("dec"))
+    pairs = nights.visible_pairs(p, _night_slots(spark))
+    return pairs.groupBy("ppc", "night").agg(F.count("*").alias("n_slots"), F.round(F.max("altitude"), 6).alias("highest"))
+
+
+@query()
+def schedule_of_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nights over all parts as pointings, with slew, delay and elevation."""
+    ra, dec = sky("p_partkey")
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("ppc"), ra.alias("ra"), dec.alias("dec"), (F.col("p_retailprice") / 1000).alias("rank"), (F.col("p_size") % 10).alias("priority"))
+    return nights.schedule_nights(p, _night_slots(spark), beam=50)
