@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import beyond_patrol, flat_distance, separation
 from ..functions.scalar import count_pair, known, magnitude
+from .keyed import with_aggregates
 from .scoring import FIBERS
 from .spatial import with_cell, with_cells_around
 
@@ -69,8 +70,7 @@ def proposal_counts(fiber: DataFrame, target_type: int = FLUXSTD) -> DataFrame:
 
 
 def duplicate_fibers(fiber: DataFrame) -> DataFrame:
-    w = Window.partitionBy("design_id", "fiber_id")
-    return fiber.withColumn("n", F.count("*").over(w)).where("n > 1")
+    return with_aggregates(fiber, ["design_id", "fiber_id"], n=F.count("*")).where("n > 1")
 
 
 def patrol_violations(fiber: DataFrame, cobra: DataFrame) -> DataFrame:

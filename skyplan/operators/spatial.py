@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import sector_points, separation
@@ -98,8 +98,8 @@ def middle_of_peak(z: DataFrame) -> DataFrame:
     """The cell with the highest score; of equals the middle one."""
     top = z.agg(F.max("z").alias("__t"))
     tied = z.crossJoin(top).where("z = __t").drop("__t")
-    n = tied.withColumn("__i", F.row_number().over(Window.orderBy("ra", "dec")) - 1).withColumn("__n", F.count("*").over(Window.partitionBy()))
-    return n.where(F.col("__i") == F.least(F.bround(F.col("__n") * 0.5), F.col("__n") - 1)).drop("__i", "__n")
+    n = numbered(tied, [F.col("ra"), F.col("dec")], "__i").crossJoin(tied.agg(F.count("*").alias("__n")))  # one row
+    return n.where(F.col("__i") - 1 == F.least(F.bround(F.col("__n") * 0.5), F.col("__n") - 1)).drop("__i", "__n")
 
 
 def nearest_sector(fibers: DataFrame, x: str = "x", y: str = "y") -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ceil_to, filled, identify_code, known, text_or_null
+from .keyed import with_aggregates
+from .lineage import cut_lineage
 from .numbering import numbered
 
 BANDS = ("g", "r", "i", "z", "y")
@@ -26,7 +28,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def all_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row whose key occurs more than once."""
-    return df.withColumn("__n", F.count("*").over(Window.partitionBy(*keys))).where("__n > 1").drop("__n")
+    return with_aggregates(df, keys, __n=F.count("*")).where("__n > 1").select(*df.columns)
 
 
 def union_all(*tables: DataFrame | None) -> DataFrame:
@@ -79,8 +81,9 @@ def with_progress(target: DataFrame, log: DataFrame) -> DataFrame:
 
 def with_allocation(target: DataFrame, keys: tuple[str, ...] = ("proposal_id", "resolution")) -> DataFrame:
     """Hours done by proposal and resolution, and those left to allocate."""
-    spent = F.sum("exptime_done").over(Window.partitionBy(*keys)) / 3600
-    return target.withColumn("allocated_time_done", spent).withColumn("allocated_time", F.greatest(F.lit(0.0), F.col("allocated_time_tac") - F.col("allocated_time_done")))
+    target = cut_lineage(target)  # read for the sums and for the rows
+    met = with_aggregates(target, list(keys), allocated_time_done=F.sum("exptime_done") / 3600)
+    return met.withColumn("allocated_time", F.greatest(F.lit(0.0), F.col("allocated_time_tac") - F.col("allocated_time_done")))
 
 
 def remaining(target: DataFrame, step: float = 900.0) -> DataFrame:

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import combined_weight
+from .keyed import with_aggregates
+from .lineage import cut_lineage
+from .numbering import numbered
 
 
 def local_density(target: DataFrame) -> DataFrame:
     """Targets in the cell of one degree; cells truncate towards zero, and
     those south of -41 degrees are one with the first."""
-    return (
-        target.withColumn("__d", F.greatest((F.col("dec") + 40).cast("int"), F.lit(0))).withColumn("__r", F.col("ra").cast("int"))
-        .withColumn("local_count", F.count("*").over(Window.partitionBy("__d", "__r"))).drop("__d", "__r")
-    )
+    placed = target.withColumn("__d", F.greatest((F.col("dec") + 40).cast("int"), F.lit(0))).withColumn("__r", F.col("ra").cast("int"))
+    return with_aggregates(placed, ["__d", "__r"], local_count=F.count("*")).drop("__d", "__r")
 
 
 def rank_weight(target: DataFrame) -> DataFrame:
     """rank_fin = exp(0.55 r + 0.45 p + (9 - priority) * 0.05 (r - p)), with p
-    the next lower rank. Ranks are few, targets many: the window runs over the
-    distinct ranks."""
-    ranks = target.select("rank").distinct()
-    before = F.coalesce(F.lag("rank").over(Window.orderBy("rank")), F.lit(0.0))
-    ranks = ranks.select(F.col("rank").alias("__r"), before.alias("__p"))
+    the next lower rank. The distinct ranks, which may be as many as targets,
+    are numbered by ranges, and each meets the one before it."""
+    target = cut_lineage(target)  # read for the ranks and for the rows
+    places = numbered(target.select("rank").distinct(), [F.col("rank")], "__n")
+    ranks = places.select(F.col("rank").alias("__r"), "__n")
+    before = places.select(F.col("rank").alias("__p"), (F.col("__n") + 1).alias("__n"))
+    ranks = ranks.join(before, "__n", "left").select("__r", F.coalesce("__p", F.lit(0.0)).alias("__p"))
     met = target.join(ranks, F.col("rank").eqNullSafe(F.col("__r")))
     r, p = F.col("rank"), F.col("__p")
     return met.withColumn("rank_fin", F.exp(0.55 * r + 0.45 * p + (9 - F.col("priority")) * 0.05 * (r - p))).drop("__r", "__p")
