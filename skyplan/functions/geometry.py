@@ -78,6 +78,31 @@ def bearing(ra1: Column | str, dec1: Column | str, ra2: Column | str, dec2: Colu
     return F.degrees(F.atan2(F.sin(d) * F.cos(b), F.cos(a) * F.sin(b) - F.sin(a) * F.cos(b) * F.cos(d)))
 
 
+#: Terms of the Moon's longitude, latitude and parallax (size,
+#: phase and degrees a century), of low precision: 0.3, 0.2 and 0.003 degrees.
+MOON_LONGITUDE = ((6.29, 135.0, 477198.87), (-1.27, 259.3, -413335.36), (0.66, 235.7, 890534.22), (0.21, 269.9, 954397.74), (-0.19, 357.5, 35999.05), (-0.11, 186.5, 966404.03))
+MOON_LATITUDE = ((5.13, 93.3, 483202.02), (0.28, 228.2, 960400.89), (-0.28, 318.3, 6003.15), (-0.17, 217.6, -407332.21))
+MOON_PARALLAX = ((0.0518, 135.0, 477198.87), (0.0095, 259.3, -413335.36), (0.0078, 235.7, 890534.22), (0.0028, 269.9, 954397.74))
+
+
+def moon(utc: Column | str, latitude: float | None = LATITUDE) -> tuple[Column, Column]:
+    """Right ascension and declination of the Moon as seen from the place of
+    the telescope, or from the Earth's centre if the latitude is None."""
+    t = (julian_date(utc) - 2451545.0) / 36525
+
+    def terms(f, table: tuple) -> Column:
+        return sum((a * f(F.radians(p + n * t)) for a, p, n in table), F.lit(0.0))
+
+    lon = F.radians(218.32 + 481267.881 * t + terms(F.sin, MOON_LONGITUDE))
+    lat = F.radians(terms(F.sin, MOON_LATITUDE))
+    x, y, z = F.cos(lat) * F.cos(lon), 0.9175 * F.cos(lat) * F.sin(lon) - 0.3978 * F.sin(lat), 0.3978 * F.cos(lat) * F.sin(lon) + 0.9175 * F.sin(lat)
+    if latitude is not None:
+        r = 1 / F.sin(F.radians(0.9508 + terms(F.cos, MOON_PARALLAX)))
+        here, p = F.radians(sidereal(utc)), math.radians(latitude)
+        x, y, z = r * x - math.cos(p) * F.cos(here), r * y - math.cos(p) * F.sin(here), r * z - math.sin(p)
+    return F.pmod(F.degrees(F.atan2(y, x)), F.lit(360.0)), F.degrees(F.atan2(z, F.hypot(x, y)))
+
+
 def sector_points() -> list[tuple[int, float, float]]:
     """The centre and the points of each ring: (index, x, y)."""
     points = [(0.0, 0.0)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..functions.geometry import altitude, rotator_angle
+from ..functions.geometry import LATITUDE, altitude, moon, rotator_angle, separation, sidereal
 from ..functions.scalar import SLOT_SECONDS, arms, col
 
 #: Degrees at which the rotator wraps.
@@ -106,6 +107,26 @@ def with_visibility(target: DataFrame, grid: DataFrame) -> DataFrame:
     return met.withColumn("is_visible", F.coalesce("__v", F.lit(False))).drop("__r", "__d", "__v")
 
 
+def with_visible_times(target: DataFrame, times: DataFrame, low: float = 32.0, high: float = 75.0, moon_from: float = 0.0, moon_to: float = 360.0) -> DataFrame:
+    """target (ra, dec, ...), times (t) of a night -> with n_times, how many
+    of them see the target between the altitudes and the distances from the
+    Moon, and is_visible. The sidereal times and the Moon's places are one
+    short array, which every target goes through where it is: no grid, no join
+    of targets and times. A target without a place is seen at none."""
+    ra, dec = moon("t")
+    night = times.agg(F.collect_list(F.struct(sidereal("t").alias("lst"), ra.alias("ra"), dec.alias("dec"))).alias("__night"))  # one row, of the night's times
+    d, p = F.radians("dec"), math.radians(LATITUDE)
+
+    def seen(x: Column) -> Column:
+        altitude = F.degrees(F.asin(F.sin(d) * math.sin(p) + F.cos(d) * math.cos(p) * F.cos(F.radians(x["lst"] - F.col("ra")))))
+        away = separation(F.col("ra"), F.col("dec"), x["ra"], x["dec"])
+        return (altitude > low) & (altitude < high) & (away > moon_from) & (away < moon_to)
+
+    met = target.crossJoin(F.broadcast(night))
+    n = F.when(F.col("ra").isNull() | F.col("dec").isNull(), 0).otherwise(F.size(F.filter("__night", seen)))
+    return met.withColumn("n_times", n.cast("long")).withColumn("is_visible", F.col("n_times") > 0).drop("__night")
+
+
 def scheduler_requests(ppc: DataFrame, overhead_minutes: float = 5.0) -> DataFrame:
     """Exposure with overheads, and the words that the scheduler expects."""
     split = F.when(F.col("n_split") > 1, (F.col("n_split") - 1) * 60).otherwise(0)

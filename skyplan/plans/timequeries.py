@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as X
+from ..functions.geometry import MOON_LATITUDE, MOON_LONGITUDE, MOON_PARALLAX
 from ..operators import nights, schedule
 from ..sources import text as T
 from . import query
@@ -185,3 +186,33 @@ def schedule_of_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
     ra, dec = sky("p_partkey")
     p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("ppc"), ra.alias("ra"), dec.alias("dec"), (F.col("p_retailprice") / 1000).alias("rank"), (F.col("p_size") % 10).alias("priority"))
     return nights.schedule_nights(p, _night_slots(spark), beam=50)
+
+
+def _moon_sql() -> str:
+    """The Moon's place at t and the sidereal time."""
+    terms = lambda f, table: " + ".join(f"{a} * {f}(radians({p} + {n} * cen))" for a, p, n in table)
+    return f"""
+c AS (SELECT t, (epoch_us(t) / 86400e6 + 2440587.5 - 2451545.0) / 36525 AS cen FROM night),
+e AS (
+  SELECT t, radians((280.46061837 + 360.98564736629 * cen * 36525 - 155.4761) % 360) AS here, radians(218.32 + 481267.881 * cen + {terms("sin", MOON_LONGITUDE)}) AS lon,
+         radians({terms("sin", MOON_LATITUDE)}) AS lat, 1 / sin(radians(0.9508 + {terms("cos", MOON_PARALLAX)})) AS r FROM c),
+x AS (
+  SELECT here, r * cos(lat) * cos(lon) - cos(radians(19.8256)) * cos(here) AS x, r * (0.9175 * cos(lat) * sin(lon) - 0.3978 * sin(lat)) - cos(radians(19.8256)) * sin(here) AS y,
+         r * (0.3978 * cos(lat) * sin(lon) + 0.9175 * sin(lat)) - sin(radians(19.8256)) AS z FROM e),
+m AS (SELECT here, x / sqrt(x * x + y * y + z * z) AS x, y / sqrt(x * x + y * y + z * z) AS y, z / sqrt(x * x + y * y + z * z) AS z FROM x)"""
+
+
+@query(f"""
+WITH night AS (SELECT TIMESTAMP '2024-03-20 10:00:00' + to_minutes(CAST(k * 15 AS INTEGER)) AS t FROM range(28) g(k)), {_moon_sql()},
+p AS (SELECT p_partkey AS p_id, radians((p_partkey * CAST(137.508 AS DOUBLE)) % 360.0) AS ra, radians((p_partkey * CAST(61.8034 AS DOUBLE)) % 120.0 - 30) AS dec FROM part),
+a AS (
+  SELECT p_id, degrees(asin(sin(dec) * sin(radians(19.8256)) + cos(dec) * cos(radians(19.8256)) * cos(here - ra))) AS el,
+         degrees(acos(greatest(-1, least(1, cos(dec) * cos(ra) * x + cos(dec) * sin(ra) * y + sin(dec) * z)))) AS away FROM p, m)
+SELECT p_id, count(*) FILTER (WHERE el > 32 AND el < 75 AND away > 30) AS n_times, bool_or(el > 32 AND el < 75 AND away > 30) AS is_visible FROM a GROUP BY p_id
+""")
+def moon_visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets that a night sees between the altitudes and off the Moon."""
+    ra, dec = sky("p_partkey")
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("p_id"), ra.alias("ra"), dec.alias("dec"))
+    t = spark.sql("SELECT explode(sequence(TIMESTAMP '2024-03-20 10:00:00', TIMESTAMP '2024-03-20 16:45:00', INTERVAL 15 MINUTES)) AS t")
+    return schedule.with_visible_times(p, t, moon_from=30.0).select("p_id", "n_times", "is_visible")
