@@ -47,7 +47,7 @@ def export_pointings(ppc: DataFrame, classic: bool = False, single: float = 900.
     values = absent | {
         "ppc_equinox": given("ppc_equinox", F.lit("J2000")), "ppc_priority_usr": usr, "ppc_exptime": given("ppc_exptime", F.lit(single if classic else 900.0)),
         "ppc_totaltime": given("ppc_totaltime", F.lit(single + 300 if classic else 1200.0)), "ppc_comment": given("ppc_comment", F.lit("")),
-        "ppc_fiber_usage_frac": given("ppc_fiber_usage_frac", F.lit(None).cast("double")),
+        "ppc_fiber_usage_frac": given("ppc_fiber_usage_frac", F.lit(None).cast("double")), "ppc_allocated_targets": given("ppc_allocated_targets", F.array().cast("array<string>")),
     }
     return ranked.withColumns(values).select(*[c for c in PPC_COLUMNS if c in have or c in values])
 

@@ -90,10 +90,11 @@ def merge_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT s_name AS ppc_code, s_acctbal AS ppc_priority, 'J2000' AS ppc_equinox, s_acctbal AS ppc_priority_usr, 900.0 AS ppc_exptime, 1200.0 AS ppc_totaltime, '' AS ppc_comment, CAST(NULL AS DOUBLE) AS ppc_fiber_usage_frac FROM supplier
+SELECT s_name AS ppc_code, s_acctbal AS ppc_priority, 'J2000' AS ppc_equinox, s_acctbal AS ppc_priority_usr, 900.0 AS ppc_exptime, 1200.0 AS ppc_totaltime, '' AS ppc_comment, CAST(NULL AS DOUBLE) AS ppc_fiber_usage_frac, CAST(0 AS INTEGER) AS n_allocated FROM supplier
 """)
 def export_pointings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return output.export_pointings(read(spark, sf_dir, "supplier").select(F.col("s_name").alias("ppc_code"), F.col("s_acctbal").alias("ppc_priority")))
+    out = output.export_pointings(read(spark, sf_dir, "supplier").select(F.col("s_name").alias("ppc_code"), F.col("s_acctbal").alias("ppc_priority")))
+    return out.withColumn("n_allocated", F.size("ppc_allocated_targets")).drop("ppc_allocated_targets")
 
 
 @query("""

@@ -9,7 +9,7 @@ from .text import escape
 
 #: The columns that come first, in order.
 ORDER = [
-    "design_id", "ppc_code", "inr1", "inr2", "el1", "el2", "unfib_bright", "ag1", "ag2", "ag3", "ag4", "ag5", "ag6", "ag_sum",
+    "designId", "ppc_code", "inr1", "inr2", "el1", "el2", "unfib_bright", "ag1", "ag2", "ag3", "ag4", "ag5", "ag6", "ag_sum",
     "sky_mean", "sky_std", "sky_min", "sky_max", "sky_sum", "std_mean", "std_std", "std_min", "std_max", "std_sum",
 ]
 STYLE = "background-color: #f4a6a6"
@@ -20,6 +20,7 @@ def report_html(flagged: DataFrame, title: str, order: list[str] = ORDER) -> str
     flagged cells are coloured by the style sheet, so that they can be found
     again (text.highlighted_cells). The report has one row per design of a
     night and is put together on the driver."""
+    flagged = flagged.withColumnRenamed("design_id", "designId")
     columns = desired_first([c for c in flagged.columns if not c.startswith("flag_")], order)
     marks, lines = [], []
     for i, r in enumerate(flagged.orderBy(columns[0]).toLocalIterator()):

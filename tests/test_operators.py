@@ -218,7 +218,7 @@ def test_report_round_trip(spark):
     page = report_html(design.report_flags(r), "a & b")
     pages = spark.createDataFrame([(1, page)], "page_id long, html string")
     cells = {r.row_no: r.cells for r in text.html_rows(pages).collect()}
-    assert cells[0][:4] == ["design_id", "unfib_bright", "ag1", "ag_sum"] and cells[2][0] == "2"
+    assert cells[0][:4] == ["designId", "unfib_bright", "ag1", "ag_sum"] and cells[2][0] == "2"
     found = {(r.row, cells[0][r.col]) for r in text.highlighted_cells(pages).collect()}
     assert found == {(0, "ag1"), (1, "sky_sum"), (1, "ag_sum")}
 
