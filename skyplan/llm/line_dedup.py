@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import math
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,15 +70,15 @@ def boilerplate(lines: DataFrame, min_sites: int, band: float) -> DataFrame:
     return sure.unionByName(near.join(exact.where(F.col("exact") >= min_sites), ["h1", "h2"]).select("h1", "h2", "first"))
 
 
-def _keep(texts: pa.Array, gone: pa.Array) -> pa.Array:
-    out = []
-    for text, at in zip(texts, gone):
-        if not at.is_valid or not text.is_valid:
-            out.append(text.as_py())
-        else:
-            drop = set(at.as_py())
-            out.append("\n".join([x for i, x in enumerate(text.as_py().split("\n")) if i not in drop]))
-    return pa.array(out, pa.string())
+def _without(text: Column, gone: Column) -> Column:
+    """The text without the lines at the given places. The text is split once,
+    and places are taken apart by a hash set, so it is linear in the lines."""
+
+    def joined(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+
+    return F.element_at(F.transform(F.array(F.split(text, "\n")), joined), 1)
 
 
 def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "source", text_col: str = "text", min_sites: int | None = None, band: float = 0.25, site_share: float = SITE_SHARE) -> DataFrame:
@@ -96,7 +95,7 @@ def with_removed(docs: DataFrame, id_col: str = "doc_id", site_col: str = "sourc
     rows = packed(docs).withColumns({"key": F.col("row")[id_col], "key_hash": text_hash(F.col("row")[text_col])})
     text: Column = F.col("row")[text_col]
     met = rows.join(gone, F.col("key").eqNullSafe(F.col("id")) & (F.col("key_hash") == F.col("th")), "left")
-    cleaned = F.when(F.col("gone").isNull(), text).otherwise(F.arrow_udf(_keep, "string")(text, "gone"))
+    cleaned = F.when(F.col("gone").isNull(), text).otherwise(_without(text, F.col("gone")))
     n_lines = F.regexp_count(text, F.lit(_WORDED + "[^\\n]*"))  # from a line's first word to its end
     return met.select("row", F.when(text.isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"), cleaned.alias("clean"))
 
