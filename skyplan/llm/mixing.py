@@ -20,8 +20,10 @@ one fold, which decides all its documents but one; residuals are dealt again
 until one is left for each size. A last fold for each source takes these and
 about `change` documents, drawn by hash and kept out of the tree, the largest
 first: the small ones at its end settle what the large ones leave, so the
-source's words end within about one small document of the target. A hot source
-has more blocks, not larger ones; no step grows with a source.
+source's words end within about one small document of the target where it has
+some hundred documents. A source of a few documents, all of them large, may end
+as far off as its last draw is large. A hot source has more blocks, not larger
+ones; no step grows with a source.
 
 Draws are hashes of ids and sizes, so reruns agree. Defined results: null
 text has size 0 and takes 0 words; a null source is the last source; rows that
