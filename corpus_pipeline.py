@@ -3,6 +3,15 @@ decontamination, mixing.
 
 Every stage takes (spark, docs, sf_dir). run() writes each stage's result as
 Parquet to the shared folder and reads it again as the next one's input.
+
+Defined results, in all stages: columns besides those of documents pass
+through untouched, whatever their names, but that the last one's mix_copies
+and mix_words take the place of columns so named; an empty table stays empty.
+Null and empty texts have no word and go with the quality rules. A null id is
+an id like others, last among ties. Rows that repeat id and text are judged
+alike by the first two stages; the third keeps one row of each group, the one
+with the least id, so of rows that repeat one is left. Lines stay where they
+first occur, by id and place. A null source is a site and a source of its own.
 """
 
 from __future__ import annotations
