@@ -23,9 +23,12 @@ def _band(dec: Column, radius: float) -> Column:
 
 
 def _cells_in_band(band: Column, radius: float) -> Column:
-    """Cells of at least the radius's width in right ascension."""
-    widest = F.least(F.lit(89.9), F.abs((band + 0.5) * radius) + radius / 2)
-    return F.greatest(F.lit(1), F.floor(360 * F.cos(F.radians(widest)) / radius)).cast("long")
+    """Cells as wide as a circle around a point can reach in right ascension
+    whose points are in the band: such a centre lies at most the radius beyond
+    the band's edge. Bands that circles over a pole may reach have one cell."""
+    edge = F.greatest(F.abs(band * radius), F.abs((band + 1) * radius)) + radius
+    width = F.degrees(F.asin(F.least(F.lit(1.0), F.lit(math.sin(math.radians(min(radius, 90.0)))) / F.cos(F.radians(F.least(edge, F.lit(89.9)))))))
+    return F.when(edge + radius < 89.9, F.greatest(F.lit(1), F.floor(360 / width))).otherwise(1).cast("long")
 
 
 def with_cell(df: DataFrame, radius: float, ra: str = "ra", dec: str = "dec") -> DataFrame:
