@@ -23,19 +23,25 @@ def _drop_rounds() -> None:
             return
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """A written copy in the session's shared checkpoint folder, deleted when
-    the driver ends. Where that is unset, in local mode only, a temporary
-    folder stands in for it: a cache would keep the plan, which loops whose
-    rounds read a table more than once would double each time."""
-    spark = df.sparkSession
+def written_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the session's shared checkpoint folder, deleted when the
+    driver ends. Where that is unset, in local mode only, a temporary folder
+    stands in for it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = _local_folder()
-    path = f"{folder.rstrip('/')}/round-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     _ROUNDS.append((spark, path))
+    return path
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A written copy in the shared folder: a cache would keep the plan, which
+    loops whose rounds read a table more than once would double each time."""
+    spark = df.sparkSession
+    path = written_folder(spark, "round")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -57,18 +57,19 @@ def rotator_samples(ppc: DataFrame, nights: DataFrame, step_minutes: int = 20) -
 
 
 def slew_times(lines: DataFrame) -> DataFrame:
-    """lines (log, n, line) of a scheduler -> (ppc_code, slew_time): the line
-    that assigns a code follows that of its slew; the last pair of a code
-    counts. A slew's time is the word before the unit, a code what stands
-    between the first slash and the bracket. The window is as large as one log."""
-    w = Window.partitionBy("log").orderBy("n")
-    x = lines.withColumn("__p", F.lag("line").over(w)).where(F.contains("line", F.lit("assigning")))
-    told = F.substring_index(F.substr("__p", F.instr("__p", "slew time ") + 10), " sec", 1)
-    slew = F.when(F.contains("__p", F.lit("slew time ")) & F.contains("__p", F.lit(" sec")), F.substring_index(told, " ", -1).try_cast("double"))
+    """lines (log, n, line) of a scheduler, numbered without gaps ->
+    (ppc_code, slew_time): the line that assigns a code follows that of its
+    slew; the last pair of a code counts. A slew's time is the word before the
+    unit, a code what stands between the first slash and the bracket. Lines
+    that tell neither go in the scan, and the rest meet by log and number, so
+    that no task needs a whole log in order."""
+    told = F.substring_index(F.substr("line", F.instr("line", "slew time ") + 10), " sec", 1)
+    slew = F.when(F.contains("line", F.lit("slew time ")) & F.contains("line", F.lit(" sec")), F.substring_index(told, " ", -1).try_cast("double"))
     named = F.substring_index(F.substr("line", F.instr("line", "assigning ") + 10), "(", 1)
     code = F.when(F.contains("line", F.lit("(")) & (F.instr(named, "/") > 0), F.trim(F.substr(named, F.instr(named, "/") + 1)))
-    pairs = x.select("log", "n", code.alias("ppc_code"), slew.alias("slew")).where("ppc_code <> '' and slew is not null")
-    return pairs.groupBy("ppc_code").agg(F.max_by("slew", F.struct("log", "n")).alias("slew_time"))
+    slews = lines.where(F.contains("line", F.lit("slew time "))).select("log", (F.col("n") + 1).alias("n"), slew.alias("slew")).where("slew is not null")
+    codes = lines.where(F.contains("line", F.lit("assigning"))).select("log", "n", code.alias("ppc_code")).where("ppc_code <> ''")
+    return codes.join(slews, ["log", "n"]).groupBy("ppc_code").agg(F.max_by("slew", F.struct("log", "n")).alias("slew_time"))
 
 
 def schedule_with_slew(schedule: DataFrame, slew: DataFrame) -> DataFrame:

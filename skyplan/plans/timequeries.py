@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as X
 from ..functions.geometry import MOON_LATITUDE, MOON_LONGITUDE, MOON_PARALLAX
 from ..operators import nights, schedule
+from ..operators.lineage import written_folder
 from ..sources import text as T
 from . import query
 from .binding import read, sky
@@ -65,6 +66,24 @@ def log_slew_pairing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schedule.slew_times(e.select(F.col("user_id").alias("log"), n.alias("n"), F.when(i % 2 == 0, slew).otherwise(code).alias("line")))
 
 
+@query("""
+WITH l AS (
+  SELECT CAST(ts AS DATE) AS log, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS n, event_id FROM events),
+p AS (SELECT *, lag(event_id) OVER (PARTITION BY log ORDER BY n) AS prev FROM l)
+SELECT 'code_' || CAST(event_id % 50 AS VARCHAR) AS ppc_code, arg_max(prev % 300 + 0.5, epoch_us(CAST(log AS TIMESTAMP)) * 10 + n) AS slew_time
+FROM p WHERE event_id % 2 = 1 AND prev % 2 = 0 GROUP BY 1
+""")
+def log_file_slews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of days, written as text files and read in splits."""
+    i = F.col("event_id")
+    slew = F.concat(F.lit("slew time is "), (i % 300).cast("string"), F.lit(".5 sec"))
+    code = F.concat(F.lit("assigning ob/code_"), (i % 50).cast("string"), F.lit("(x)"))
+    e = read(spark, sf_dir, "events").select(F.to_date("ts").cast("string").alias("log"), "ts", "event_id", F.when(i % 2 == 0, slew).otherwise(code).alias("value"))
+    path = written_folder(spark, "logs")
+    e.repartition("log").sortWithinPartitions("log", "ts", "event_id").select("log", "value").write.partitionBy("log").text(path)
+    return schedule.slew_times(T.numbered_lines(spark, path))
+
+
 @query("""
 SELECT event_id, CAST(CAST(ts - INTERVAL 22 HOUR AS DATE) AS VARCHAR) AS night, CAST(CAST(ts AS DATE) - 1 AS VARCHAR) AS hst_date,
        epoch_us(CASE WHEN hour(ts) < 12 THEN ts + INTERVAL 1 DAY ELSE ts END) AS rolled FROM events
