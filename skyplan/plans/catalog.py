@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import auctionqueries, designqueries, morequeries, planning, programqueries, skyqueries, timequeries  # noqa: F401
+from . import auctionqueries, designqueries, filequeries, morequeries, planning, programqueries, skyqueries, timequeries  # noqa: F401
