@@ -44,7 +44,8 @@ def independent_peaks(cells: DataFrame, wide: float) -> DataFrame:
     placed = cells.withColumn("__b", band).withColumn("__n", n)
     placed = placed.withColumn("__c", F.least(F.floor(F.pmod("ra", F.lit(360.0)) / 360 * F.col("__n")), F.col("__n") - 1).cast("long"))
     offer = F.struct("density", (-F.pmod("ra", F.lit(360.0))).alias("a"), (-F.col("dec")).alias("d"))
-    tops = placed.groupBy("__b", "__c", "__n").agg(F.max(offer).alias("top"), F.max_by(F.struct("ra", "dec"), offer).alias("at"))
+    # written, so that a block's offer is the same where it is compared
+    tops = cut_lineage(placed.groupBy("__b", "__c", "__n").agg(F.max(offer).alias("top"), F.max_by(F.struct("ra", "dec"), offer).alias("at")))
     # the blocks of another band that a block with its two neighbours reaches
     near = tops.withColumn("__b2", F.explode(F.array(F.col("__b") - 1, F.col("__b"), F.col("__b") + 1)))
     edge2 = F.least(F.lit(89.0), F.greatest(F.abs(F.col("__b2") * wide - 90), F.abs((F.col("__b2") + 1) * wide - 90)))

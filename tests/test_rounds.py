@@ -3,7 +3,11 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from skyplan.operators import pointing, rounds
+from skyplan.operators.rounds import independent_peaks
+from skyplan.operators.spatial import middle_of_peak
 
 SCHEMA = "identify_code string, proposal_id string, ra double, dec double, weight double, rank double, priority int, exptime double, exptime_done double, exptime_PPP double, allocated_time double"
 
@@ -57,3 +61,13 @@ def test_peaks_are_independent(spark):
 
     assert max(cells, key=lambda c: c[2]) in got and len(got) > 50
     assert all(apart(p, q) > wide for i, p in enumerate(got) for q in got[:i])
+
+
+def test_peak_of_sums_that_vary(spark):
+    """Sums of doubles differ in the last bits from one evaluation to the next;
+    the top and the cells that have it must be of one evaluation."""
+    jitter = F.udf(lambda: random.random() * 1e-9, "double").asNondeterministic()
+    cells = spark.range(60).select((F.col("id") % 10).cast("double").alias("ra"), F.floor(F.col("id") / 10).cast("double").alias("dec"), (F.col("id") + jitter()).alias("z"))
+    assert middle_of_peak(cells).first().ra == 9.0
+    found = independent_peaks(cells.withColumnRenamed("z", "density"), 30.0).collect()
+    assert [(r.ra, r.dec) for r in found] == [(9.0, 5.0)]
