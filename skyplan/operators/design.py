@@ -97,8 +97,10 @@ def bright_near_fibers(fiber: DataFrame, star: DataFrame, radius: float) -> Data
 
 
 def on_module(fiber: DataFrame, fibers_of_module: DataFrame, targets_n: DataFrame) -> DataFrame:
-    """Fibres of a module that hold targets of the n arm: two semi joins."""
-    return fiber.join(fibers_of_module, "fiber_id", "left_semi").join(targets_n, "ob_code", "left_semi").distinct()
+    """Fibres of a module that hold targets of the n arm: two semi joins. A
+    module has some hundred fibres; these are sent to all tasks, since rows
+    dealt by so few numbers would lie in a few tasks."""
+    return fiber.join(F.broadcast(fibers_of_module.distinct()), "fiber_id", "left_semi").join(targets_n, "ob_code", "left_semi").distinct()
 
 
 def report_flags(report: DataFrame) -> DataFrame:
