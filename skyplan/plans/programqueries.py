@@ -31,7 +31,7 @@ WITH {REMAINING}
 SELECT proposal_id, count(*) AS n_assigned, round(sum(rank), 6) AS weight, round(sum(least(exptime_done, exptime)) / 3600, 6) AS fh_credited FROM remain WHERE obj_id % 2 = 0 GROUP BY proposal_id
 """)
 def assignment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = remaining_targets(spark, sf_dir).withColumnRenamed("rank", "rank_fin")
+    t = remaining_targets(spark, sf_dir, ("rank", "obj_id")).withColumnRenamed("rank", "rank_fin")
     out = programs.assignment_summary(t, t.where("obj_id % 2 = 0").select("identify_code"))
     return out.select("proposal_id", "n_assigned", F.round("weight", 6).alias("weight"), F.round("fh_credited", 6).alias("fh_credited"))
 
