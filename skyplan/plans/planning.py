@@ -203,7 +203,7 @@ WITH {REMAINING}
 SELECT priority, count(*) FILTER (WHERE obj_id % 2 = 0) AS n_assigned, count(*) AS n_total FROM remain GROUP BY priority
 """)
 def priority_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = remaining_targets(spark, sf_dir)
+    t = remaining_targets(spark, sf_dir, ("priority", "obj_id"))
     return scoring.tracked_by_priority(t, t.where("obj_id % 2 = 0"))
 
 
@@ -211,7 +211,7 @@ def priority_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {REMAINING} SELECT "exptime_PPP", count(*) AS n FROM remain GROUP BY "exptime_PPP"
 """)
 def remaining_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remaining_targets(spark, sf_dir).groupBy("exptime_PPP").agg(F.count("*").alias("n"))
+    return remaining_targets(spark, sf_dir, ()).groupBy("exptime_PPP").agg(F.count("*").alias("n"))
 
 
 @query("""
