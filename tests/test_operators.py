@@ -354,3 +354,26 @@ def test_chunks_as_array_split(spark, n):
     out = targets.near_equal_chunks(spark.range(n), 7, ["id"])
     parts = np.array_split(np.arange(n), 7)
     assert rows(out, "id", "chunk") == sorted([(int(x), k) for k, p in enumerate(parts, 1) for x in p], key=repr)
+
+
+def test_targets_turned_down_skip_full_pointings(spark, monkeypatch):
+    """Rounds don't follow the pointings around a target."""
+    rng = np.random.default_rng(3)
+    ts = [(f"t{k:03d}", 40 + float(a), float(b), float(w)) for k, (a, b, w) in enumerate(zip(rng.uniform(-1, 1, 300), rng.uniform(-1, 1, 300), rng.integers(1, 40, 300)))]
+    ps = [(k, 40 + float(a), float(b)) for k, (a, b) in enumerate(rng.uniform(-1, 1, (60, 2)))]
+    df, pc = spark.createDataFrame(ts, "identify_code string, ra double, dec double, weight double"), spark.createDataFrame(ps, "pointing int, ra double, dec double")
+    rounds = []
+    monkeypatch.setattr(pointing, "cut_lineage", lambda x, real=pointing.cut_lineage: rounds.append(1) or real(x))
+    got = {(r.pointing, r.identify_code): r.separation for r in pointing.assignment_with_spill(df, pc, 2, 3.0).collect()}
+    assert len(rounds) < 100  # offers to one pointing after the other would take some 60 rounds of two tables
+    apart = {(r.r_id, r.l_id): r.separation for r in spatial.cone_pairs(df.select(F.col("identify_code").alias("l_id"), "ra", "dec"), pc.withColumnRenamed("pointing", "r_id"), 3.0).collect()}
+    wish = {i: sorted((apart[p, i], p) for p, *_ in ps) for i, *_ in ts}
+    weight, held, free = {i: w for i, _, _, w in ts}, {p: [] for p, *_ in ps}, [i for i, *_ in ts]
+    while free:
+        i = free.pop()
+        if wish[i]:
+            d, p = wish[i].pop(0)
+            held[p] = sorted([*held[p], (-weight[i], d, i)])
+            free += [x[2] for x in held[p][2:]]
+            held[p] = held[p][:2]
+    assert set(got) == {(p, x[2]) for p, xs in held.items() for x in xs}
