@@ -102,3 +102,22 @@ def test_whole_choice(spark):
     grid = {a if a > -90 else 270.0 for a in pointing.angle_candidates()}
     got = {f"{r.ppc}|{r.pa if r.pa < 270 else -90.0}" for r in found.collect() if r.pa in grid}
     assert got == ok
+
+
+def test_pointings_without_an_angle_meet_no_more_stars(spark, monkeypatch):
+    """Parts of the stars leave what all of them leave, and a pointing that has
+    no angle left doesn't meet the next part."""
+    rng = random.Random(7)
+    stars = [(k, 100 + rng.uniform(-1, 1), 10 + rng.uniform(-1, 1), 9.0) for k in range(4000)] + [(5000 + k, 200 + 0.1 * k, 20.75, 9.0) for k in range(3)]
+    star = spark.createDataFrame(stars, "star long, ra double, dec double, g_mag double")
+    ppc = spark.createDataFrame([(k, 99.9 + 0.05 * k, 10.0) for k in range(5)] + [(9, 200.0, 20.0)], "ppc long, ra double, dec double")
+    arcs = spark.createDataFrame([(9, 300.0, 7.0)], "ppc long, start double, length double")
+    met = []
+    monkeypatch.setattr(angles, "PARTS", 64)
+    monkeypatch.setattr(angles, "RING_STARS", 0.001)
+    monkeypatch.setattr(angles, "star_arcs", lambda p, *x, real=angles.star_arcs: met.append(sorted(r.ppc for r in p.collect())) or real(p, *x))
+    got = sorted(tuple(r) for r in angles.open_angles(ppc, arcs, star).collect())
+    assert met[0] == [0, 1, 2, 3, 4, 9] and met[-1] == [9] and len(met) > 1
+    whole = sorted(tuple(r) for r in angles.free_angles(ppc, arcs.unionByName(angles.star_arcs(ppc, star))).collect())
+    assert {r[0] for r in got} == {9} and len(got) == len(whole)
+    assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-9 and abs(a[2] - b[2]) < 1e-9 for a, b in zip(got, whole))
